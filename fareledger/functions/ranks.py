@@ -13,6 +13,8 @@ from fareledger.session import literal_table, materialize, shared_dir
 # Rank error of the sketch is at most 1/ACCURACY of a group; brackets are wider than that.
 ACCURACY = 50_000
 MARGIN = 5.0 / ACCURACY
+# Below this many rows the margin may be under one rank, so the whole group is its own bracket.
+SMALL_GROUP = int(4 / MARGIN)
 
 
 def number_rows(df: DataFrame, *order: Column | str, name: str = "row_number") -> DataFrame:
@@ -57,13 +59,18 @@ def sketch(value: Column, percents: Sequence[float]) -> Column:
     return F.percentile_approx(value, [float(p) for p in points], ACCURACY)
 
 
-def brackets(points: Column, percents: Sequence[float], low: Column, high: Column) -> Column:
+def brackets(
+    points: Column, percents: Sequence[float], low: Column, high: Column, count: Column
+) -> Column:
     """Closed value ranges, one per percent, as an array of structs; open at the extremes."""
-    ranges = []
+    ranges, small = [], count < SMALL_GROUP
     for i, p in enumerate(percents):
         lower = low if p - MARGIN <= 0 else F.element_at(points, 2 * i + 1)
         upper = high if p + MARGIN >= 1 else F.element_at(points, 2 * i + 2)
-        ranges.append(F.struct(lower.alias("lo"), upper.alias("hi")))
+        ranges.append(F.struct(
+            F.when(small, low).otherwise(lower).alias("lo"),
+            F.when(small, high).otherwise(upper).alias("hi"),
+        ))
     return F.array(*ranges)
 
 
@@ -152,10 +159,13 @@ def exact_percentiles(
             sketch(F.col("_v"), ps).alias("_points"),
             F.min("_v").alias("_lo"),
             F.max("_v").alias("_hi"),
+            F.count("*").alias("_count"),
         )
         .select(
             *[F.col(k).alias(f"_k{i}") for i, k in enumerate(grouping)],
-            brackets(F.col("_points"), ps, F.col("_lo"), F.col("_hi")).alias("_ranges"),
+            brackets(
+                F.col("_points"), ps, F.col("_lo"), F.col("_hi"), F.col("_count")
+            ).alias("_ranges"),
         )
     )
     same_group = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(grouping)]

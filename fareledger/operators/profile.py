@@ -26,6 +26,8 @@ PERCENTS = {"p01": 0.01, "p50": 0.5, "p95": 0.95, "p99": 0.99}
 
 def labelled(df: DataFrame, source: Column | str) -> DataFrame:
     """``df`` with the label its profile rows will carry."""
+    if SOURCE in df.columns:
+        raise ValueError(f"rename the column {SOURCE} before profiling")
     return df.withColumn(SOURCE, F.lit(source) if isinstance(source, str) else source)
 
 
@@ -77,7 +79,10 @@ def numeric_profile(df: DataFrame, columns: dict[str, Column] | Sequence[str]) -
     stats = materialize(_per_column(shaped.groupBy(SOURCE).agg(*aggregates), names, facts))
     bounds = stats.where(F.col("_lo").isNotNull()).select(
         SOURCE, "column",
-        brackets(F.col("_points"), ps, F.col("_lo"), F.col("_hi")).alias("_ranges"),
+        brackets(
+            F.col("_points"), ps, F.col("_lo"), F.col("_hi"),
+            F.col("count_lt_0") + F.col("count_eq_0") + F.col("count_gt_0"),
+        ).alias("_ranges"),
     )
     cells = F.array(*[
         F.when(
@@ -255,7 +260,7 @@ def service_spec(contract) -> ProfileSpec:
     )
 
 
-def _long(df: DataFrame, section: str, column: Column | None = None) -> DataFrame:
+def long_format(df: DataFrame, section: str, column: Column | None = None) -> DataFrame:
     """Rows (source, section, column, metric, number, text) from a wide profile part."""
     skip = {SOURCE, "column"}
     name = column if column is not None else F.col("column")
@@ -276,7 +281,7 @@ def _long(df: DataFrame, section: str, column: Column | None = None) -> DataFram
     ).select(SOURCE, "section", "column", "_m.*")
 
 
-def _long_counts(df: DataFrame, section: str) -> DataFrame:
+def long_counts(df: DataFrame, section: str) -> DataFrame:
     return df.select(
         SOURCE, F.lit(section).alias("section"), "column",
         F.coalesce("value", F.lit("(null)")).alias("metric"),
@@ -298,14 +303,14 @@ def profile_service(
     numerics["trip_duration_seconds"] = seconds_between(spec.start, spec.end)
     whole = F.lit("*")
     parts = [
-        _long(null_summary(df, columns), "columns"),
-        _long(numeric_profile(df, numerics), "numeric"),
-        _long(datetime_profile(df, [spec.start, spec.end]), "datetime"),
-        _long(duration_counts(df, spec.start, spec.end, year, month), "duration", whole),
-        _long_counts(domain_profile(df, [c for c in spec.domains if c in df.columns]), "domain"),
-        _long(reference_profile(df, spec.references, zones, zone_key), "reference"),
-        _long_counts(unmatched_ids(df, spec.references, zones, zone_key), "unmatched"),
-        _long(duplicate_profile(df, columns), "duplicates", whole),
+        long_format(null_summary(df, columns), "columns"),
+        long_format(numeric_profile(df, numerics), "numeric"),
+        long_format(datetime_profile(df, [spec.start, spec.end]), "datetime"),
+        long_format(duration_counts(df, spec.start, spec.end, year, month), "duration", whole),
+        long_counts(domain_profile(df, [c for c in spec.domains if c in df.columns]), "domain"),
+        long_format(reference_profile(df, spec.references, zones, zone_key), "reference"),
+        long_counts(unmatched_ids(df, spec.references, zones, zone_key), "unmatched"),
+        long_format(duplicate_profile(df, columns), "duplicates", whole),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -53,14 +53,15 @@ def current_sources(registrations: DataFrame, runs: DataFrame) -> DataFrame:
     """
     done = (
         runs.where((F.col("status") == SUCCEEDED) & F.col("source_file_id").isNotNull())
-        .groupBy("source_file_id").agg(F.min("finished_at").alias("_done"))
+        .groupBy("source_file_id")
+        .agg(F.lit(True).alias("_done"), F.min("finished_at").alias("_done_at"))
     )
     joined = registrations.join(done, "source_file_id", "left")
     loaded = (F.col("status") == READY) & F.col("_done").isNotNull()
     return joined.select(*[
         F.when(loaded, F.lit(LOADED)).otherwise(F.col("status")).alias("status")
         if name == "status"
-        else F.coalesce("loaded_at", "_done").alias("loaded_at") if name == "loaded_at"
+        else F.coalesce("loaded_at", "_done_at").alias("loaded_at") if name == "loaded_at"
         else F.col(name)
         for name in registrations.columns
     ])

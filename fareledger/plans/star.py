@@ -214,19 +214,24 @@ def stored_files(warehouse: Warehouse, table: str = FACT_TABLE) -> DataFrame:
 
 def incremental_fact(
     trips: DataFrame, warehouse: Warehouse, build, full_refresh: bool = False,
-    table: str = FACT_TABLE,
+    table: str = FACT_TABLE, rebalance: bool = False,
 ) -> DataFrame:
     """Add the facts of new files, or rebuild all of them.
 
     ``build`` turns enriched trips into facts. The table is partitioned by file, so known
     ids are a partition listing and writing touches only new partitions. Rows are sorted
-    inside each partition by date key and service for row-group skipping.
+    inside each partition by date key and service for row-group skipping. Raw tables are
+    laid out by file already; ``rebalance`` gathers the rows of each file first where the
+    input is not, and adaptive execution splits a file that holds too many of them.
     """
     path = warehouse.path(table)
     rebuild = full_refresh or not warehouse.exists(table)
     if not rebuild:
         trips = new_files(trips, stored_files(warehouse, table))
-    facts = cluster_fact(build(trips))
+    facts = build(trips)
+    if rebalance:
+        facts = facts.hint("rebalance", F.col("source_file_id"))
+    facts = cluster_fact(facts)
     if rebuild:
         facts.write.mode("overwrite").partitionBy("source_file_id").parquet(path)
     else:

@@ -17,13 +17,16 @@ NA_TOKENS = (
 )
 
 
-def contract_rows(spark: SparkSession, contracts: dict[str, Contract] = TRIP_CONTRACTS) -> DataFrame:
+def contract_rows(
+    spark: SparkSession, contracts: dict[str, Contract] = TRIP_CONTRACTS,
+    arrow_types: dict[str, str] = ARROW_TYPES,
+) -> DataFrame:
     """The contracts as one literal row per dataset and expected column."""
     rows = []
     for dataset, contract in contracts.items():
         for i, (name, kind) in enumerate(contract.fields):
             rows.append((
-                dataset, name, i, ARROW_TYPES.get(kind, kind), i >= len(contract.baseline),
+                dataset, name, i, arrow_types.get(kind, kind), i >= len(contract.baseline),
                 contract.base_version, contract.added_version or None, contract.service.title(),
             ))
     return literal_table(
@@ -34,13 +37,14 @@ def contract_rows(spark: SparkSession, contracts: dict[str, Contract] = TRIP_CON
 
 
 def contract_differences(
-    fields: DataFrame, datasets: DataFrame, contracts: dict[str, Contract] = TRIP_CONTRACTS
+    fields: DataFrame, datasets: DataFrame, contracts: dict[str, Contract] = TRIP_CONTRACTS,
+    arrow_types: dict[str, str] = ARROW_TYPES,
 ) -> DataFrame:
     """One row per file and column that is expected, delivered or both.
 
     ``fields`` is the footer listing and ``datasets`` names the dataset of each path.
     """
-    expected = contract_rows(fields.sparkSession, contracts)
+    expected = contract_rows(fields.sparkSession, contracts, arrow_types)
     wanted = datasets.select("path", "dataset_name").join(expected, "dataset_name")
     found = fields.join(datasets.select("path", "dataset_name"), "path").join(
         expected.select("dataset_name").distinct(), "dataset_name", "left_semi"
@@ -52,13 +56,14 @@ def contract_differences(
 
 
 def validate_contract(
-    fields: DataFrame, datasets: DataFrame, contracts: dict[str, Contract] = TRIP_CONTRACTS
+    fields: DataFrame, datasets: DataFrame, contracts: dict[str, Contract] = TRIP_CONTRACTS,
+    arrow_types: dict[str, str] = ARROW_TYPES,
 ) -> DataFrame:
     """Per path: the schema version it satisfies, or the first problem found.
 
     Problems are looked for in the order missing, unknown, column order, type, nullability.
     """
-    pairs = contract_differences(fields, datasets, contracts)
+    pairs = contract_differences(fields, datasets, contracts, arrow_types)
     by_file = Window.partitionBy("path")
     present = F.col("ordinal_position").isNotNull()
     # A file has as many rows here as columns, so its window is a handful of rows.

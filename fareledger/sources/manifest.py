@@ -113,8 +113,9 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") ->
 
 
 def _spread(paths: DataFrame) -> DataFrame:
-    """One small task per few files, so a large file does not queue behind others."""
-    return paths.repartition(paths.sparkSession.sparkContext.defaultParallelism * 4, "path")
+    """A few files per task. Adaptive coalescing would see only the tiny path texts."""
+    most = paths.sparkSession.sparkContext.defaultParallelism * 4
+    return paths.repartition(max(1, min(paths.count(), most)))
 
 
 def file_identity(paths: DataFrame) -> DataFrame:
