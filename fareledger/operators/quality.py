@@ -22,6 +22,7 @@ from fareledger.operators.rules import (
     Rule,
     of_kind,
 )
+from fareledger.session import materialize
 from fareledger.sources.schemas import LOADED, SUCCEEDED, TRIP_CONTRACTS
 
 PASSED, VIOLATED = "passed", "violated"
@@ -162,11 +163,53 @@ def exact_duplicates(
     )
 
 
+def exact_duplicates_prefiltered(
+    df: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """``exact_duplicates`` for wide rows: a hash pass first, whole rows only where hashes repeat.
+
+    The first pass shuffles one hash per distinct row of a task instead of the row. Rows
+    that share a hash are then compared on all columns, so collisions do not count. The
+    repeated hashes are a stored table: Catalyst broadcasts it when it is small, which
+    leaves the unique rows where they are, and shuffles by hash when it is not.
+    """
+    chosen = list(columns) if columns else [c for c in df.columns if not c.startswith("_")]
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, T.FractionalType)}
+    whole = [F.col(c) + 0.0 if c in floats else F.col(c) for c in chosen]  # one zero
+    hashed = df.select(
+        *keys, *[c for c in chosen if c not in keys], F.xxhash64(*whole).alias("_hash")
+    )
+    sizes = materialize(
+        hashed.groupBy(*keys, "_hash").agg(F.count("*").alias("_n"))
+        .groupBy(*keys, (F.col("_n") > 1).alias("_repeats"),
+                 F.when(F.col("_n") > 1, F.col("_hash")).alias("_hash"))
+        .agg(F.sum("_n").alias("_n"))
+    )
+    repeated = sizes.where("_repeats").select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                                              F.col("_hash").alias("_h"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    candidates = hashed.join(repeated, [F.col("_hash") == F.col("_h"), *same], "left_semi")
+    found = exact_duplicates(candidates, chosen, keys).drop("total_rows")
+    totals = sizes.groupBy(*keys).agg(F.sum("_n").alias("total_rows"))
+    names = ["participating_rows", "excess_rows", "duplicate_groups"]
+    if not keys:
+        one = F.lit(1).alias("_one")
+        return totals.select("*", one).join(found.select("*", one), "_one").select(
+            *names, F.coalesce("total_rows", F.lit(0)).alias("total_rows")
+        )
+    found = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *names)
+    return totals.join(found, same, "left").select(
+        *keys, *[F.coalesce(n, F.lit(0)).alias(n) for n in names], "total_rows"
+    )
+
+
 def duplicate_checks(
-    df: DataFrame, rules: Sequence[Rule], columns: Sequence[str], keys: Sequence[str]
+    df: DataFrame, rules: Sequence[Rule], columns: Sequence[str], keys: Sequence[str],
+    prefilter: bool = False,
 ) -> DataFrame:
     """Duplicate rules as measures: participating rows fail, the rest goes to details."""
-    found = exact_duplicates(df, columns, keys)
+    find = exact_duplicates_prefiltered if prefilter else exact_duplicates
+    found = find(df, columns, keys)
     names = F.array(*[F.lit(rule.name) for rule in of_kind(rules, DUPLICATE)])
     return found.select(
         *keys, F.explode(names).alias("check_name"),
@@ -179,9 +222,12 @@ def duplicate_checks(
 
 def measure(
     df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], dim: DataFrame | None = None,
-    dim_key: str | None = None, columns: Sequence[str] | None = None,
+    dim_key: str | None = None, columns: Sequence[str] | None = None, prefilter: bool = False,
 ) -> DataFrame:
-    """All measures of a catalog in long form, one row per group and check with rows to tell."""
+    """All measures of a catalog in long form, one row per group and check with rows to tell.
+
+    ``prefilter`` looks for duplicates by hash first; it pays on wide rows.
+    """
     def shaped(part: DataFrame) -> DataFrame:
         return part.select(
             *keys, "check_name", "rows_failed",
@@ -198,7 +244,7 @@ def measure(
         parts.append(shaped(reference_checks(df, rules, dim, dim_key, keys)))
     if of_kind(rules, DUPLICATE):
         chosen = list(columns) if columns else [c for c in df.columns if not c.startswith("_")]
-        parts.append(shaped(duplicate_checks(df, rules, chosen, keys)))
+        parts.append(shaped(duplicate_checks(df, rules, chosen, keys, prefilter)))
     return reduce(DataFrame.unionByName, parts)
 
 

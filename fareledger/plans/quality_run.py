@@ -54,7 +54,8 @@ def run_quality_checks(
             months, "_source_file_id"
         )
         rules = rule_catalog(dataset)
-        measures = measure(rows, rules, ["_source_file_id"], zones, "LocationID", contract.names)
+        measures = measure(rows, rules, ["_source_file_id"], zones, "LocationID", contract.names,
+                           prefilter=True)
         parts.append(quality_results(measures, rules, mine, "_source_file_id", at))
     results = materialize(reduce(DataFrame.unionByName, parts))
     write_partitions(results, warehouse.path("ops/quality_results"), "run_id")
