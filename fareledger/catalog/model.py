@@ -73,9 +73,13 @@ def loaded_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Double aggregates at a precision that does not depend on the order of additions."""
+    """Double aggregates at a precision that does not depend on the order of additions.
+
+    Sums keep cents. Averages keep seven places, where exact halves are out of reach.
+    """
     return df.select(*[
-        F.round(f.name, 4).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+        F.round(f.name, 2 if "total" in f.name else 7).alias(f.name)
+        if f.dataType.typeName() == "double" else F.col(f.name)
         for f in df.schema.fields
     ])
 
@@ -222,10 +226,10 @@ QUERIES = {
 
 FACTS = "FROM facts f JOIN dates d ON d.date_key = f.pickup_date_key"
 Q1_1996 = "d.full_date BETWEEN DATE '1996-01-01' AND DATE '1996-03-31'"
-MEASURES_SQL = """count(*) AS trip_count, round(sum(f.total_amount), 4) AS total_amount,
-  round(avg(f.trip_distance_miles), 4) AS average_trip_distance_miles,
-  round(avg(f.fare_amount), 4) AS average_fare_amount,
-  round(avg(f.tip_amount), 4) AS average_tip_amount"""
+MEASURES_SQL = """count(*) AS trip_count, round(sum(f.total_amount), 2) AS total_amount,
+  round(avg(f.trip_distance_miles), 7) AS average_trip_distance_miles,
+  round(avg(f.fare_amount), 7) AS average_fare_amount,
+  round(avg(f.tip_amount), 7) AS average_tip_amount"""
 
 
 def _monthly_sql(where: str = "") -> str:
@@ -235,7 +239,7 @@ def _monthly_sql(where: str = "") -> str:
 
 def _zones_sql(where: str = "", limit: int = 10) -> str:
     return f"""{STAR_SQL} SELECT z.location_id, z.borough, z.zone_name, count(*) AS trip_count,
-      round(sum(f.total_amount), 4) AS total_amount
+      round(sum(f.total_amount), 2) AS total_amount
       {FACTS} JOIN dim_zone z ON z.zone_key = f.pickup_zone_key {where}
       GROUP BY z.zone_key, z.location_id, z.borough, z.zone_name
       ORDER BY count(*) DESC, z.zone_key LIMIT {limit}"""
@@ -243,7 +247,7 @@ def _zones_sql(where: str = "", limit: int = 10) -> str:
 
 def _pivot_sql(measure: str, how: str) -> str:
     cells = ", ".join(
-        f"round({how}(CASE WHEN service_type = '{s}' THEN {measure} END), 4) AS \"{s}\""
+        f"round({how}(CASE WHEN service_type = '{s}' THEN {measure} END), 7) AS \"{s}\""
         for s in ("line", "order")
     )
     return f"""SELECT coalesce(CAST("month" AS VARCHAR), 'Unknown') AS "month", {cells}
@@ -270,13 +274,13 @@ ORACLE = {
     "monthly_pivot": _pivot_sql("total_amount", "sum"),
     "monthly_pivot_mean": _pivot_sql("average_fare_amount", "avg"),
     "service_share": f"""SELECT service_type, CAST(sum(trip_count) AS BIGINT) AS trip_count,
-      round(sum(trip_count) / sum(sum(trip_count)) OVER (), 4) AS "share"
+      round(sum(trip_count) / sum(sum(trip_count)) OVER (), 7) AS "share"
       FROM ({_monthly_sql()}) AS m GROUP BY 1""",
     "zone_labels": f"SELECT borough || ' · ' || zone_name AS label, trip_count FROM ({_zones_sql()}) AS z",
     "lineage_counts": "SELECT count(*) AS row_count, count(*) AS lineage_count FROM lineitem",
     "nearest_rank": """SELECT o_orderpriority,
       quantile_disc(o_totalprice, 0.95) AS percentile FROM orders GROUP BY 1""",
-    "median_by": """SELECT l_returnflag, round(median(l_extendedprice), 4) AS median
+    "median_by": """SELECT l_returnflag, round(median(l_extendedprice), 7) AS median
       FROM lineitem GROUP BY 1""",
     "t_not_null": f"WITH {TRIPS_CTE} SELECT service_type, source_file_id, fare_amount FROM trips WHERE vendor_id IS NULL",
     "t_unique": "SELECT text, count(*) AS row_count FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fareledger.plans import star
 from fareledger.plans.build import fact_builder
-from fareledger.session import materialize, shared_dir
+from fareledger.session import materialize, shared_dir, spread
 from fareledger.sources.readers import align_columns
 from fareledger.sources.schemas import CANONICAL
 from fareledger.sources.seeds import SEEDS
@@ -29,9 +29,11 @@ def year_month(column: str) -> F.Column:
 
 def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as trips from order date to ship date; the ship month is the file."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "*", (F.col("_metadata.row_index") + 1).alias("_row")
-    )
+    lines = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_quantity", "l_linenumber", "l_returnflag",
+        "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
+        (F.col("_metadata.row_index") + 1).alias("_row"),
+    ))
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

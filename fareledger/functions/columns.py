@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -98,3 +100,21 @@ def duration_label(start: Column | str, end: Column | str) -> Column:
         .when(minutes > 0, F.format_string("%dm %ds", minutes, rest))
         .otherwise(F.format_string("%ds", rest))
     )
+
+
+def melt(
+    df: DataFrame, keys: Sequence[str], cells: dict[str, Column], label: str, value: str,
+    keep_nulls: bool = False,
+) -> DataFrame:
+    """One row per key row and cell, from one scan; null cells are dropped unless asked for.
+
+    An unpivot is a plain projection per cell, so unlike exploding a filtered array it stays
+    in generated code.
+    """
+    names = {f"_cell{i}": name for i, name in enumerate(cells)}
+    wide = df.select(*keys, *[cells[name].alias(c) for c, name in names.items()])
+    long = wide.unpivot(list(keys), list(names), "_cell", value)
+    if not keep_nulls:
+        long = long.where(F.col(value).isNotNull())
+    labels = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return long.select(*keys, labels[F.col("_cell")].alias(label), value)

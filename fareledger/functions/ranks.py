@@ -61,31 +61,38 @@ def sketch(value: Column, percents: Sequence[float]) -> Column:
 
 def brackets(
     points: Column, percents: Sequence[float], low: Column, high: Column, count: Column
-) -> Column:
-    """Closed value ranges, one per percent, as an array of structs; open at the extremes."""
-    ranges, small = [], count < SMALL_GROUP
+) -> list[Column]:
+    """Columns ``_lo<i>`` and ``_hi<i>``: a closed value range per percent, open at the extremes.
+
+    They are plain columns and not an array, so testing a value against them stays in
+    generated code.
+    """
+    out, small = [], count < SMALL_GROUP
     for i, p in enumerate(percents):
         lower = low if p - MARGIN <= 0 else F.element_at(points, 2 * i + 1)
         upper = high if p + MARGIN >= 1 else F.element_at(points, 2 * i + 2)
-        ranges.append(F.struct(
-            F.when(small, low).otherwise(lower).alias("lo"),
-            F.when(small, high).otherwise(upper).alias("hi"),
-        ))
-    return F.array(*ranges)
+        out += [
+            F.when(small, low).otherwise(lower).alias(f"_lo{i}"),
+            F.when(small, high).otherwise(upper).alias(f"_hi{i}"),
+        ]
+    return out
 
 
 def ranked_values(
-    longs: DataFrame, keys: Sequence[str], value: str, ranges: str
+    longs: DataFrame, keys: Sequence[str], value: str, percents: Sequence[float]
 ) -> DataFrame:
     """Value counts inside the brackets, one total per gap between them, and running ranks.
 
-    ``longs`` holds non-null values with their bracket array. Rows outside every bracket
+    ``longs`` holds non-null values with their bracket columns. Rows outside every bracket
     collapse to one row per gap before the shuffle, so the window sorts a sliver of the
     group instead of the group.
     """
     v = F.col(value)
-    inside = F.exists(ranges, lambda r: (v >= r["lo"]) & (v <= r["hi"]))
-    gap = F.size(F.filter(ranges, lambda r: r["hi"] < v))
+    inside, gap = F.lit(False), F.lit(0)
+    for i in range(len(percents)):
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        inside = inside | ((v >= lo) & (v <= hi))
+        gap = gap + (hi < v).cast("int")
     counted = (
         longs.select(*keys, value, inside.alias("_in"), gap.alias("_gap"))
         .groupBy(
@@ -163,15 +170,13 @@ def exact_percentiles(
         )
         .select(
             *[F.col(k).alias(f"_k{i}") for i, k in enumerate(grouping)],
-            brackets(
-                F.col("_points"), ps, F.col("_lo"), F.col("_hi"), F.col("_count")
-            ).alias("_ranges"),
+            *brackets(F.col("_points"), ps, F.col("_lo"), F.col("_hi"), F.col("_count")),
         )
     )
     same_group = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(grouping)]
     longs = values.join(bounds, same_group)
     result = (
-        ranked_values(longs, grouping, "_v", "_ranges")
+        ranked_values(longs, grouping, "_v", ps)
         .groupBy(*grouping)
         .agg(*percentile_columns(percents, method))
     )

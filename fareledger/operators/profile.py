@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareledger.functions.columns import finite, outside_month, rate, seconds_between
+from fareledger.functions.columns import finite, melt, outside_month, rate, seconds_between
 from fareledger.functions.ranks import brackets, percentile_columns, ranked_values, sketch
 from fareledger.operators.quality import exact_duplicates, value_counts
 from fareledger.session import materialize
@@ -79,24 +79,15 @@ def numeric_profile(df: DataFrame, columns: dict[str, Column] | Sequence[str]) -
     stats = materialize(_per_column(shaped.groupBy(SOURCE).agg(*aggregates), names, facts))
     bounds = stats.where(F.col("_lo").isNotNull()).select(
         SOURCE, "column",
-        brackets(
+        *brackets(
             F.col("_points"), ps, F.col("_lo"), F.col("_hi"),
             F.col("count_lt_0") + F.col("count_eq_0") + F.col("count_gt_0"),
-        ).alias("_ranges"),
-    )
-    cells = F.array(*[
-        F.when(
-            F.col(f"`{c}`").isNotNull() & ~F.isnan(F.col(f"`{c}`")),
-            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("_v")),
-        )
-        for c in names
-    ])
-    longs = (
-        shaped.select(SOURCE, F.explode(F.array_compact(cells)).alias("_c"))
-        .select(SOURCE, "_c.*").join(bounds, [SOURCE, "column"])
+        ),
     )
+    cells = {c: F.when(~F.isnan(f"`{c}`"), F.col(f"`{c}`")) for c in names}
+    longs = melt(shaped, [SOURCE], cells, "column", "_v").join(bounds, [SOURCE, "column"])
     exact = (
-        ranked_values(longs, [SOURCE, "column"], "_v", "_ranges")
+        ranked_values(longs, [SOURCE, "column"], "_v", ps)
         .groupBy(SOURCE, "column").agg(*percentile_columns(PERCENTS))
     )
     total = F.col("non_null_count") + F.col("null_count")
@@ -112,11 +103,9 @@ def numeric_profile(df: DataFrame, columns: dict[str, Column] | Sequence[str]) -
 
 def domain_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per value of each column, nulls included as the null value."""
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns
-    ])
+    cells = {c: F.col(c).cast("string") for c in columns}
     return (
-        df.select(SOURCE, F.explode(cells).alias("_c")).select(SOURCE, "_c.*")
+        melt(df, [SOURCE], cells, "column", "value", keep_nulls=True)
         .groupBy(SOURCE, "column", "value").agg(F.count("*").alias("count"))
     )
 

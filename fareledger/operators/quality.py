@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareledger.functions.columns import rate
+from fareledger.functions.columns import melt, rate
 from fareledger.operators.rules import (
     DOMAIN,
     DUPLICATE,
@@ -49,23 +49,22 @@ def domain_counts(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) ->
     All domain columns share one scan. Only unexpected cells become rows, integers in
     ``int_value`` and any other type in ``text_value``.
     """
-    cells = []
+    cells, whole = {}, []
     for rule in of_kind(rules, DOMAIN):
         value = F.col(rule.column)
-        whole = isinstance(df.schema[rule.column].dataType, T.IntegralType)
-        cells.append(F.when(
-            value.isNotNull() & ~value.isin(*rule.allowed),
-            F.struct(
-                F.lit(rule.name).alias("check_name"),
-                (value.cast("bigint") if whole else F.lit(None).cast("bigint")).alias("int_value"),
-                (F.lit(None).cast("string") if whole else value.cast("string")).alias("text_value"),
-            ),
-        ))
-    return (
-        df.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("_cell"))
-        .select(*keys, "_cell.*")
-        .groupBy(*keys, "check_name", "int_value", "text_value")
-        .agg(F.count("*").alias("count"))
+        cells[rule.name] = F.when(~value.isin(*rule.allowed), value.cast("string"))
+        if isinstance(df.schema[rule.column].dataType, T.IntegralType):
+            whole.append(rule.name)
+    counts = (
+        melt(df, keys, cells, "check_name", "value")
+        .groupBy(*keys, "check_name", "value").agg(F.count("*").alias("count"))
+    )
+    number = F.col("check_name").isin(*whole)
+    return counts.select(
+        *keys, "check_name",
+        F.when(number, F.col("value").cast("bigint")).alias("int_value"),
+        F.when(~number, F.col("value")).alias("text_value"),
+        "count",
     )
 
 
@@ -102,14 +101,9 @@ def domain_checks(
 
 def value_counts(df: DataFrame, columns: dict[str, str], keys: Sequence[str]) -> DataFrame:
     """Rows per non-null value of several columns, labelled, in one scan."""
-    cells = [
-        F.when(F.col(c).isNotNull(),
-               F.struct(F.lit(label).alias("label"), F.col(c).cast("string").alias("value")))
-        for label, c in columns.items()
-    ]
+    cells = {label: F.col(c).cast("string") for label, c in columns.items()}
     return (
-        df.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("_cell"))
-        .select(*keys, "_cell.*")
+        melt(df, keys, cells, "label", "value")
         .groupBy(*keys, "label", "value").agg(F.count("*").alias("count"))
     )
 

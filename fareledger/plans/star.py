@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareledger.functions.columns import date_key, seconds_between
+from fareledger.functions.columns import date_key, melt, seconds_between
 from fareledger.sources.manifest import list_files
 from fareledger.sources.readers import align_columns
 from fareledger.sources.schemas import CANONICAL, LOADED, ZONE_PARTITION
@@ -114,8 +114,8 @@ def enrich(trips: DataFrame) -> DataFrame:
 
 def observed_dates(trips: DataFrame) -> DataFrame:
     """Distinct non-null pickup and dropoff dates from a single scan."""
-    both = F.array_compact(F.array("pickup_date", "dropoff_date"))
-    return trips.select(F.explode(both).alias("full_date")).distinct()
+    days = {name: F.col(name) for name in ("pickup_date", "dropoff_date")}
+    return melt(trips, [], days, "role", "full_date").select("full_date").distinct()
 
 
 def dim_date(trips: DataFrame) -> DataFrame:

@@ -78,3 +78,13 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType |
         schema=arrow,
     )
     return spark.createDataFrame(table, schema=schema)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan over all cores when its files give fewer splits than cores.
+
+    One row group is one task however many cores wait. Inputs of many files or row groups,
+    the normal case on a cluster, are returned as they are, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
