@@ -22,7 +22,6 @@ from fareledger.operators.rules import (
     missing,
     negative,
     reference,
-    rule_catalog,
     scalar,
     zero,
 )
@@ -127,14 +126,13 @@ def q_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ship months as yellow files with the severity mix of the checks each one gets."""
-    months = line_trips(spark, sf_dir).select(KEY).distinct()
-    rules = catalog_table(spark, rule_catalog("yellow_tripdata"))
-    mix = rules.groupBy("severity").agg(F.count("*").alias("checks"))
-    listed = mix.agg(F.map_from_entries(F.collect_list(F.struct("severity", "checks"))).alias("m"))
-    one = F.lit(1).alias("_one")
-    return months.select(KEY, one).join(listed.select("m", one), "_one").select(
-        KEY, F.col("m")["WARNING"].alias("warning_checks"), F.col("m")["INFO"].alias("info_checks")
+    """Rules of the line catalog with the rows their column is filled in."""
+    filled = line_trips(spark, sf_dir).agg(*[
+        F.count(rule.column).alias(rule.name) for rule in LINE_RULES if rule.column
+    ])
+    counts = filled.unpivot([], filled.columns, "check_name", "filled_rows")
+    return catalog_table(spark, LINE_RULES).join(counts, "check_name", "left").select(
+        "ordinal", "check_name", "severity", "kind", "filled_rows"
     )
 
 
@@ -248,7 +246,10 @@ ORACLE = {
     "q_severity": f"{RESULTS_SQL} SELECT severity, count(*) AS results FROM results GROUP BY 1",
     "q_warnings": f"""{RESULTS_SQL} SELECT run_id, check_name, rows_failed FROM results
       WHERE severity = 'WARNING' AND status = 'violated'""",
-    "q_catalog": f"""WITH {T_CTE} SELECT DISTINCT source_file_id,
-      CAST({sum(r.severity == WARNING for r in rule_catalog("yellow_tripdata"))} AS BIGINT) AS warning_checks,
-      CAST({sum(r.severity == INFO for r in rule_catalog("yellow_tripdata"))} AS BIGINT) AS info_checks FROM t""",
+    "q_catalog": f"""WITH {T_CTE}, c AS (SELECT {", ".join(
+        f"count({r.column}) AS {r.name}" for r in LINE_RULES if r.column)} FROM t)
+      SELECT CAST(ordinal AS INTEGER) AS ordinal, check_name, severity, kind,
+        CASE check_name {" ".join(f"WHEN '{r.name}' THEN (SELECT {r.name} FROM c)"
+                                  for r in LINE_RULES if r.column)} END AS filled_rows
+      FROM (VALUES {CATALOG_SQL}) AS r(ordinal, check_name, severity, kind)""",
 }

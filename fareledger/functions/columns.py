@@ -118,3 +118,11 @@ def melt(
         long = long.where(F.col(value).isNotNull())
     labels = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
     return long.select(*keys, labels[F.col("_cell")].alias(label), value)
+
+
+def side_by_side(*parts: DataFrame) -> DataFrame:
+    """Several one-row aggregates as one row, without joining them."""
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])

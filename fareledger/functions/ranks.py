@@ -173,8 +173,15 @@ def exact_percentiles(
             *brackets(F.col("_points"), ps, F.col("_lo"), F.col("_hi"), F.col("_count")),
         )
     )
-    same_group = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(grouping)]
-    longs = values.join(bounds, same_group)
+    if keys:
+        same_group = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(grouping)]
+        longs = values.join(bounds, same_group)
+    else:
+        edges = bounds.drop("_k0").first()  # one row of a few numbers
+        longs = values.select("*", *[
+            F.lit(edges[c] if edges else None).cast("double").alias(c)
+            for c in bounds.columns if c != "_k0"
+        ])
     result = (
         ranked_values(longs, grouping, "_v", ps)
         .groupBy(*grouping)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareledger.functions.columns import side_by_side
+
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
@@ -71,9 +73,8 @@ def count_equal(
     left: DataFrame, right: DataFrame, names: tuple[str, str] = ("left_rows", "right_rows")
 ) -> DataFrame:
     """Both row counts as one row when they differ."""
-    one = F.lit(1).alias("_one")
-    sizes = [d.agg(F.count("*").alias(n)).select(n, one) for d, n in zip((left, right), names)]
-    return sizes[0].join(sizes[1], "_one").drop("_one").where(F.col(names[0]) != F.col(names[1]))
+    sizes = [df.agg(F.count("*").alias(n)) for df, n in zip((left, right), names)]
+    return side_by_side(*sizes).where(F.col(names[0]) != F.col(names[1]))
 
 
 def exactly_one(df: DataFrame, condition: Column, name: str = "row_count") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareledger.functions.columns import melt, rate
+from fareledger.functions.columns import melt, rate, side_by_side
 from fareledger.operators.rules import (
     DOMAIN,
     DUPLICATE,
@@ -71,8 +71,11 @@ def domain_counts(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) ->
 def domain_checks(
     df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], inline: int = INLINE_VALUES
 ) -> DataFrame:
-    """Failing rows per domain rule with the unexpected values as JSON in value order."""
-    counts = domain_counts(df, rules, keys)
+    """Failing rows per domain rule with the unexpected values as JSON in value order.
+
+    The counts are stored once, so the rows are scanned once for totals and listings.
+    """
+    counts = materialize(domain_counts(df, rules, keys))
     group = [*keys, "check_name"]
     totals = counts.groupBy(*group).agg(
         F.sum("count").alias("rows_failed"), F.count("*").alias("_values")
@@ -187,8 +190,7 @@ def exact_duplicates_prefiltered(
     totals = sizes.groupBy(*keys).agg(F.sum("_n").alias("total_rows"))
     names = ["participating_rows", "excess_rows", "duplicate_groups"]
     if not keys:
-        one = F.lit(1).alias("_one")
-        return totals.select("*", one).join(found.select("*", one), "_one").select(
+        return side_by_side(found, totals).select(
             *names, F.coalesce("total_rows", F.lit(0)).alias("total_rows")
         )
     found = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *names)

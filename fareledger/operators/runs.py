@@ -7,7 +7,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareledger.functions.columns import duration_label, duration_seconds, fold_message
+from fareledger.functions.columns import (
+    duration_label,
+    duration_seconds,
+    fold_message,
+    side_by_side,
+)
 from fareledger.functions.ranks import number_rows
 from fareledger.operators.registry import get_one, raise_if_any
 from fareledger.sources.readers import align_columns
@@ -252,7 +257,4 @@ def pipeline_kpis(sources: DataFrame, runs: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == SUCCEEDED).alias("successful_runs"),
         F.coalesce(F.sum(F.coalesce("warning_count", F.lit(0))), F.lit(0)).alias("quality_warnings"),
     )
-    one = F.lit(1)
-    return (
-        files.withColumn("_one", one).join(totals.withColumn("_one", one), "_one").drop("_one")
-    )
+    return side_by_side(files, totals)
