@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareledger.catalog.trips import TABLES, table
-from fareledger.session import literal_table, materialize, shared_dir
+from fareledger.session import literal_table, materialize, shared_dir, spread
 from fareledger.sources import contracts, manifest
 from fareledger.sources.landing import parse_paths
 from fareledger.sources.readers import align_columns, local_path, stamp_lineage
@@ -111,10 +111,10 @@ def lineage_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = spread(table(spark, sf_dir, "lineitem").select(
         "*", local_path(F.col("_metadata.file_path")).alias("_path"),
         (F.col("_metadata.row_index") + 1).alias("_source_row_number"),
-    )
+    ))
     files = paths(spark, sf_dir, ("lineitem",)).select(
         "path", F.lit(1).alias("source_file_id"), F.lit(5).alias("run_id")
     )

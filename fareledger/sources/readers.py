@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareledger.session import spread
 from fareledger.sources.schemas import CONTRACTS, ZONES, Contract, struct
 
 
@@ -100,7 +101,7 @@ def read_raw(spark: SparkSession, dataset: str, assignments: DataFrame, paths: S
     if contract is ZONES:
         rows = read_zones(spark, paths)
     else:
-        rows = read_trips(spark, paths, contract)
+        rows = spread(read_trips(spark, paths, contract))
     return align_columns(stamp_lineage(rows, assignments, ingested_at), contract.raw_schema)
 
 
