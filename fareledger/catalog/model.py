@@ -160,6 +160,20 @@ def t_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def t_not_null_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.not_null_many(
+        source.trips(spark, sf_dir), ["vendor_id", "pickup_datetime", "dropoff_datetime", "tolls_amount"]
+    )
+
+
+def t_relationships_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    zone_dim = dim_zone(spark, sf_dir)
+    return checks.relationships_many(source.trips(spark, sf_dir), {
+        "pickup_location_id": (zone_dim, "zone_key"), "dropoff_location_id": (zone_dim, "zone_key"),
+        "vendor_id": (dim_vendor(spark, sf_dir), "vendor_key"),
+    })
+
+
 def t_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.unique(table(spark, sf_dir, "documents"), "text")
 
@@ -218,7 +232,9 @@ QUERIES = {
     "top_zones_filtered": top_zones_filtered, "monthly_pivot": monthly_pivot,
     "monthly_pivot_mean": monthly_pivot_mean, "service_share": service_share,
     "zone_labels": zone_labels, "lineage_counts": lineage_counts, "nearest_rank": nearest_rank,
-    "median_by": median, "t_not_null": t_not_null, "t_unique": t_unique,
+    "median_by": median, "t_not_null": t_not_null,
+    "t_not_null_many": t_not_null_many, "t_relationships_many": t_relationships_many,
+    "t_unique": t_unique,
     "t_unique_key": t_unique_key, "t_relationships": t_relationships, "t_accepted": t_accepted,
     "t_grain": t_grain, "t_grain_left": t_grain_left, "t_count_equal": t_count_equal,
     "t_exactly_one": t_exactly_one, "t_unknown": t_unknown,
@@ -283,6 +299,17 @@ ORACLE = {
     "median_by": """SELECT l_returnflag, round(median(l_extendedprice), 7) AS median
       FROM lineitem GROUP BY 1""",
     "t_not_null": f"WITH {TRIPS_CTE} SELECT service_type, source_file_id, fare_amount FROM trips WHERE vendor_id IS NULL",
+    "t_not_null_many": f"WITH {TRIPS_CTE} SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS row_count FROM trips"
+        for c in ("vendor_id", "pickup_datetime", "dropoff_datetime", "tolls_amount")
+    ) + ") AS n WHERE row_count > 0",
+    "t_relationships_many": f"WITH {TRIPS_CTE}, {source.ZONE_DIM_CTE}, {source.VENDOR_DIM_CTE} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS "value", count(*) AS row_count
+        FROM trips WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {k} FROM {d}) GROUP BY {c}"""
+        for c, d, k in (("pickup_location_id", "dim_zone", "zone_key"),
+                        ("dropoff_location_id", "dim_zone", "zone_key"),
+                        ("vendor_id", "dim_vendor", "vendor_key"))
+    ),
     "t_unique": "SELECT text, count(*) AS row_count FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
     "t_unique_key": "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
     "t_relationships": """SELECT o_custkey, count(*) AS row_count FROM orders

@@ -8,13 +8,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareledger.functions.columns import side_by_side
+from fareledger.functions.columns import melt, side_by_side
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
+def not_null_many(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns that hold nulls, with their number of null rows, from one scan."""
+    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return wide.unpivot([], list(columns), "column_name", "row_count").where("row_count > 0")
+
+
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Repeated values; nulls are not compared."""
     return unique_key(df.where(F.col(column).isNotNull()), [column])
@@ -37,6 +43,21 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, key: str) ->
     return values.join(members, column, "left_anti")
 
 
+def relationships_many(
+    child: DataFrame, parents: dict[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """``relationships`` of several child columns, from one scan of the child."""
+    cells = {column: F.col(column).cast("string") for column in parents}
+    values = melt(child, [], cells, "column_name", "value").groupBy("column_name", "value").agg(
+        F.count("*").alias("row_count")
+    )
+    members = reduce(DataFrame.unionAll, [
+        parent.select(F.lit(column).alias("column_name"), F.col(key).cast("string").alias("value"))
+        for column, (parent, key) in parents.items()
+    ])
+    return values.join(members, ["column_name", "value"], "left_anti")
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Non-null values outside the list with their row count."""
     return df.where(~F.col(column).isin(*values)).groupBy(column).agg(

@@ -68,18 +68,18 @@ def model_tests(models: Models, warehouse: Warehouse) -> dict[str, DataFrame]:
         "pickup_date_key": (models.dates, "date_key"),
         "dropoff_date_key": (models.dates, "date_key"),
     }
-    for column, (parent, key) in parents.items():
-        tests[f"not_null_fct_trips_{column}"] = checks.not_null(facts, column)
-        tests[f"relationships_fct_trips_{column}"] = checks.relationships(facts, column, parent, key)
     lineage = ["source_file_id", "source_row_number"]
-    for column in [*lineage, "pipeline_run_id"]:
-        tests[f"not_null_fct_trips_{column}"] = checks.not_null(facts, column)
+    tests["not_null_fct_trips"] = checks.not_null_many(
+        facts, [*parents, *lineage, "pipeline_run_id"]
+    )
+    tests["relationships_fct_trips"] = checks.relationships_many(facts, parents)
     for name, df in (("fct_trips", facts), ("int_trips", models.trips),
                      ("stg_yellow", models.yellow), ("stg_green", models.green)):
         tests[f"{name}_lineage_unique"] = checks.unique_key(df, lineage)
     for name, df in (("stg_yellow", models.yellow), ("stg_green", models.green)):
-        for column in ["service_type", *lineage, "pipeline_run_id", "ingested_at"]:
-            tests[f"not_null_{name}_{column}"] = checks.not_null(df, column)
+        tests[f"not_null_{name}"] = checks.not_null_many(
+            df, ["service_type", *lineage, "pipeline_run_id", "ingested_at"]
+        )
     tests["accepted_values_int_trips_service_type"] = checks.accepted_values(
         models.trips, "service_type", ["yellow", "green"]
     )

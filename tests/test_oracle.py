@@ -16,9 +16,12 @@ def con():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    problems, count = compare(QUERIES[name](spark, SF_DIR), con, ORACLE.get(name))
+    df = QUERIES[name](spark, SF_DIR)
+    problems, count = compare(df, con, ORACLE.get(name))
     assert problems == []
     assert count >= 0
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
 def test_entry(spark):

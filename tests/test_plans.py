@@ -2,9 +2,6 @@
 
 from datetime import date
 
-import pytest
-
-import __spark_entry__ as entry
 from fareledger.catalog import trips as source
 from fareledger.operators import quality
 from fareledger.plans import analytics, star
@@ -71,12 +68,6 @@ def test_top_zones_keeps_only_the_top_rows(spark):
     assert "TakeOrderedAndProject" in plan(analytics.top_zones(facts, dates, zones))
 
 
-@pytest.mark.parametrize("name", entry.queries())
-def test_no_query_pairs_everything(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
-    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
-
-
 def test_session_settings(spark):
     assert local_session().conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
