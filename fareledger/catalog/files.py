@@ -12,7 +12,7 @@ from fareledger.catalog.trips import TABLES, table
 from fareledger.session import literal_table, materialize, shared_dir, spread
 from fareledger.sources import contracts, manifest
 from fareledger.sources.landing import parse_paths
-from fareledger.sources.readers import align_columns, local_path, stamp_lineage
+from fareledger.sources.readers import align_columns, stamp_lineage
 from fareledger.sources.schemas import Contract
 from fareledger.sources.tables import write_partitions
 
@@ -111,10 +111,10 @@ def lineage_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(table(spark, sf_dir, "lineitem").select(
-        "*", local_path(F.col("_metadata.file_path")).alias("_path"),
+    rows = table(spark, sf_dir, "lineitem").select(
+        "*", F.col("_metadata.file_path").alias("_file"),
         (F.col("_metadata.row_index") + 1).alias("_source_row_number"),
-    ))
+    )
     files = paths(spark, sf_dir, ("lineitem",)).select(
         "path", F.lit(1).alias("source_file_id"), F.lit(5).alias("run_id")
     )
@@ -124,7 +124,7 @@ def _stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem stored twice as the same file version: the second write replaces the first."""
     path = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
-    rows = _stamped(spark, sf_dir)
+    rows = spread(_stamped(spark, sf_dir), table(spark, sf_dir, "lineitem"))
     write_partitions(rows, path, "_source_file_id")
     write_partitions(rows, path, "_source_file_id")
     return spark.read.parquet(path).groupBy(

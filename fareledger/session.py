@@ -80,11 +80,13 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType |
     return spark.createDataFrame(table, schema=schema)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan over all cores when its files give fewer splits than cores.
+def spread(rows: DataFrame, scan: DataFrame | None = None) -> DataFrame:
+    """Deal rows over all cores when the files of their scan give fewer splits than cores.
 
     One row group is one task however many cores wait. Inputs of many files or row groups,
-    the normal case on a cluster, are returned as they are, without a shuffle.
+    the normal case on a cluster, are returned as they are, without a shuffle. ``scan`` is
+    the plain file scan to count splits of, where ``rows`` are more than that.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    splits = (rows if scan is None else scan).rdd.getNumPartitions()
+    return rows.repartition(cores) if splits < cores else rows

@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareledger.session import spread
+from fareledger.session import literal_table, spread
 from fareledger.sources.schemas import CONTRACTS, ZONES, Contract, struct
 
 
-def local_path(path: Column) -> Column:
-    """A path or file URI in one spelling, so both sides of a join agree."""
-    plain = F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
-    return F.regexp_replace(plain, "^file:/+", "/")
+def file_uris(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Listed paths with the spelling that ``_metadata.file_path`` gives them.
+
+    The spelling is worked out once per file here, so scanned rows join on the reader's own
+    per-file constant as it is. Local files occur with one or three slashes.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rows = set()
+    for text in paths:
+        path = jvm.org.apache.hadoop.fs.Path(text)
+        uri = path.getFileSystem(conf).makeQualified(path).toUri().toString()
+        rows |= {(text, uri), (text, re.sub("^file:/+", "file:/", uri))}
+    return literal_table(spark, sorted(rows), "path string, _file string")
 
 
 def align_columns(df: DataFrame, target: T.StructType) -> DataFrame:
@@ -32,13 +42,13 @@ def align_columns(df: DataFrame, target: T.StructType) -> DataFrame:
 def read_trips(spark: SparkSession, paths: Sequence[str] | str, contract: Contract) -> DataFrame:
     """Any number of trip files in one scan, with absent additive columns as nulls.
 
-    Adds ``_path`` and the 1-based ``_source_row_number`` from the reader's own row index,
+    Adds ``_file`` and the 1-based ``_source_row_number`` from the reader's own row index,
     which needs no shuffle and does not change with the number of tasks.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     return spark.read.schema(contract.schema).parquet(*paths).select(
         *contract.names,
-        local_path(F.col("_metadata.file_path")).alias("_path"),
+        F.col("_metadata.file_path").alias("_file"),
         (F.col("_metadata.row_index") + 1).alias("_source_row_number"),
     )
 
@@ -67,31 +77,32 @@ def read_zones(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
         parts.append(raw.select(
             F.col("LocationID").cast("int").alias("LocationID"),
             *[F.coalesce(name, F.lit("")).alias(name) for name in ZONES.names[1:]],
-            local_path(F.col("_metadata.file_path")).alias("_path"),
+            F.col("_metadata.file_path").alias("_file"),
             F.monotonically_increasing_id().alias("_position"),
         ))
     numbered = reduce(DataFrame.unionByName, parts)
-    first = numbered.groupBy("_path").agg(F.min("_position").alias("_first"))
-    return numbered.join(first, "_path").select(
-        *ZONES.names, "_path",
+    first = numbered.groupBy("_file").agg(F.min("_position").alias("_first"))
+    return numbered.join(first, "_file").select(
+        *ZONES.names, "_file",
         (F.col("_position") - F.col("_first") + 1).alias("_source_row_number"),
     )
 
 
 def stamp_lineage(rows: DataFrame, assignments: DataFrame, ingested_at: datetime) -> DataFrame:
-    """Attach file id, run id and ingest time to rows that carry ``_path``.
+    """Attach file id, run id and ingest time to rows that carry ``_file``.
 
     ``assignments`` has one row per file (path, source_file_id, run_id); Catalyst broadcasts
     it while it is under the threshold.
     """
-    ids = assignments.select(
-        local_path(F.col("path")).alias("_path"),
+    paths = [row[0] for row in assignments.select("path").collect()]
+    ids = file_uris(rows.sparkSession, paths).join(assignments, "path").select(
+        "_file",
         F.col("source_file_id").cast("bigint").alias("_source_file_id"),
         F.col("run_id").cast("bigint").alias("_pipeline_run_id"),
     )
-    return rows.join(ids, "_path").withColumn(
+    return rows.join(ids, "_file").withColumn(
         "_ingested_at", F.lit(ingested_at).cast("timestamp")
-    ).drop("_path")
+    ).drop("_file")
 
 
 def read_raw(spark: SparkSession, dataset: str, assignments: DataFrame, paths: Sequence[str],
@@ -99,10 +110,11 @@ def read_raw(spark: SparkSession, dataset: str, assignments: DataFrame, paths: S
     """Source columns and lineage of the given files, in the raw table's column order."""
     contract = CONTRACTS[dataset]
     if contract is ZONES:
-        rows = read_zones(spark, paths)
+        stamped = stamp_lineage(read_zones(spark, paths), assignments, ingested_at)
     else:
-        rows = spread(read_trips(spark, paths, contract))
-    return align_columns(stamp_lineage(rows, assignments, ingested_at), contract.raw_schema)
+        rows = read_trips(spark, paths, contract)
+        stamped = spread(stamp_lineage(rows, assignments, ingested_at), rows)
+    return align_columns(stamped, contract.raw_schema)
 
 
 def empty(spark: SparkSession, fields: T.StructType | Sequence[tuple[str, str]]) -> DataFrame:

@@ -25,6 +25,7 @@ ARROW = {
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8", 4)
+    # Fixtures are a few rows: planning and compiling would be all the time they take.
     session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()

@@ -128,7 +128,7 @@ def test_zone_csv_text_is_kept(spark, tmp_path):
         b'service_zone,"Zone",LocationID,Borough\r\n'
         b'N/A,"two ""quoted"", here",3,\r\n"","line\nbreak",1,Queens\r\n,x,2,NA\r\n'
     )
-    got = rows(read_zones(spark, str(path)).drop("_path").orderBy("_source_row_number"))
+    got = rows(read_zones(spark, str(path)).drop("_file").orderBy("_source_row_number"))
     assert got == [
         {"LocationID": 3, "Borough": "", "Zone": 'two "quoted", here', "service_zone": "N/A",
          "_source_row_number": 1},
@@ -141,6 +141,13 @@ def test_zone_csv_text_is_kept(spark, tmp_path):
         read_zones(spark, str(path)).collect()
 
 
+def test_paths_with_odd_characters(spark, warehouse, tmp_path):
+    root = tmp_path / "a b+c%20é"
+    write_rows(root / "data/landing/yellow/2025/01.parquet", YELLOW.fields, YELLOW_ROWS)
+    result = rows(ingest_batch(warehouse, [trip_source("yellow", 2025, 1, str(root))]))
+    assert [(r["status"], r["rows_loaded"]) for r in result] == [("succeeded", 3)]
+
+
 def test_zone_source_loads_once(spark, warehouse, landing):
     zones = zone_source(str(landing))
     ingest_batch(warehouse, [zones])

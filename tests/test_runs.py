@@ -73,7 +73,9 @@ def test_only_ready_sources_start_or_load(spark, status):
 
 def test_skips_need_the_matching_reason(spark):
     log = empty(spark, RUN_EVENTS)
-    skipped = rows(runs.log_skipped(sources(spark, "loaded", "revision_detected"), log, T0))
+    skipped = rows(
+        runs.log_skipped(sources(spark, "loaded", "revision_detected"), log, T0).orderBy("run_id")
+    )
     assert [(r["run_id"], r["status"], r["status_reason"], r["rows_loaded"]) for r in skipped] == [
         (1, "skipped", "already_loaded", 0), (2, "skipped", "source_revision_detected", 0)
     ]
