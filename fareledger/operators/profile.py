@@ -16,7 +16,12 @@ from pyspark.sql import types as T
 
 from fareledger.functions.columns import finite, melt, outside_month, rate, seconds_between
 from fareledger.functions.ranks import brackets, percentile_columns, ranked_values, sketch
-from fareledger.operators.quality import exact_duplicates, value_counts
+from fareledger.operators.quality import (
+    exact_duplicates,
+    id_type,
+    unresolved_counts,
+    value_counts,
+)
 from fareledger.session import materialize
 from fareledger.sources.contracts import missing_text
 
@@ -149,8 +154,9 @@ def reference_profile(
     df: DataFrame, columns: Sequence[str], dim: DataFrame, dim_key: str
 ) -> DataFrame:
     """Coverage of lookup ids per column: totals, matches and the unmatched rate."""
-    counts = value_counts(df, {c: c for c in columns}, [SOURCE])
-    members = dim.select(F.col(dim_key).cast("string").alias("value")).where(
+    kind = id_type(df, columns, dim, dim_key)
+    counts = value_counts(df, {c: c for c in columns}, [SOURCE], kind)
+    members = dim.select(F.col(dim_key).cast(kind).alias("value")).where(
         "value IS NOT NULL"
     ).distinct().withColumn("_hit", F.lit(True))
     matched = counts.join(members, "value", "left").groupBy(
@@ -177,10 +183,10 @@ def reference_profile(
 
 def unmatched_ids(df: DataFrame, columns: Sequence[str], dim: DataFrame, dim_key: str) -> DataFrame:
     """Rows per non-null id that the lookup does not hold."""
-    members = dim.select(F.col(dim_key).cast("string").alias("value")).where("value IS NOT NULL")
-    return value_counts(df, {c: c for c in columns}, [SOURCE]).join(
-        members, "value", "left_anti"
-    ).select(SOURCE, F.col("label").alias("column"), "value", "count")
+    found = unresolved_counts(df, {c: c for c in columns}, dim, dim_key, [SOURCE])
+    return found.select(
+        SOURCE, F.col("label").alias("column"), F.col("value").cast("string").alias("value"), "count"
+    )
 
 
 def duplicate_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:

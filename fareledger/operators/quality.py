@@ -102,9 +102,17 @@ def domain_checks(
     )
 
 
-def value_counts(df: DataFrame, columns: dict[str, str], keys: Sequence[str]) -> DataFrame:
+def id_type(df: DataFrame, columns: Sequence[str], dim: DataFrame, dim_key: str) -> str:
+    """Common type to compare ids in: numbers stay numbers when both sides are whole."""
+    kinds = [df.schema[c].dataType for c in columns] + [dim.schema[dim_key].dataType]
+    return "bigint" if all(isinstance(k, T.IntegralType) for k in kinds) else "string"
+
+
+def value_counts(
+    df: DataFrame, columns: dict[str, str], keys: Sequence[str], kind: str = "string"
+) -> DataFrame:
     """Rows per non-null value of several columns, labelled, in one scan."""
-    cells = {label: F.col(c).cast("string") for label, c in columns.items()}
+    cells = {label: F.col(c).cast(kind) for label, c in columns.items()}
     return (
         melt(df, keys, cells, "label", "value")
         .groupBy(*keys, "label", "value").agg(F.count("*").alias("count"))
@@ -119,8 +127,9 @@ def unresolved_counts(
     Rows collapse to one per distinct value before the join, so a hot value costs one row
     and the lookup may be of any size.
     """
-    members = dim.select(F.col(dim_key).cast("string").alias("value")).where("value IS NOT NULL")
-    return value_counts(df, columns, keys).join(members, "value", "left_anti")
+    kind = id_type(df, list(columns.values()), dim, dim_key)
+    members = dim.select(F.col(dim_key).cast(kind).alias("value")).where("value IS NOT NULL")
+    return value_counts(df, columns, keys, kind).join(members, "value", "left_anti")
 
 
 def reference_checks(
