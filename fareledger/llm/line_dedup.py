@@ -118,39 +118,49 @@ def count_runs(docs: DataFrame, min_docs: int, min_chars: int, batches: int) ->
     return runs
 
 
-def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
-                        batches: int = 4) -> DataFrame:
-    """``docs`` with ``kept_text``, ``n_lines`` and ``n_dropped`` added (own names win over clashes).
+def cut_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4) -> DataFrame:
+    """One row (doc, n_lines, n_dropped, kept_text) per document; ``doc`` holds its own columns.
 
     Every line whose key has at least ``min_chars`` code points and is found in at least
     ``min_docs`` documents goes, in all documents; the other lines stay, joined by a line feed.
     """
     frequent = count_runs(docs, min_docs, min_chars, batches).frequent()
-    lines = (docs.select(row_key().alias("_row"), F.posexplode(lines_of(text_of())).alias("_at", "_line"))
-             .select("_row", "_at", line_key(F.col("_line")).alias("_key"))
-             .where(F.length("_key") >= min_chars)
-             .select("_row", "_at", key_hash(F.col("_key")).alias("_h"))
-             .select("_row", "_at", "_h.*"))
+    lines = (docs.select(row_key().alias("row"), F.posexplode(lines_of(text_of())).alias("at", "line"))
+             .select("row", "at", line_key(F.col("line")).alias("key"))
+             .where(F.length("key") >= min_chars)
+             .select("row", "at", key_hash(F.col("key")).alias("h"))
+             .select("row", "at", "h.*"))
     dropped = (lines.join(frequent, KEY, "left_semi")
-               .groupBy("_row").agg(F.sort_array(F.collect_set("_at")).alias("_gone")))
-    out = (docs.drop("kept_text", "n_lines", "n_dropped").withColumn("_row", row_key())
-           .join(dropped, "_row", "left").drop("_row").withColumn("_lines", lines_of(text_of())))
+               .groupBy("row").agg(F.sort_array(F.collect_set("at")).alias("gone")))
     # Kept lines are the stretches between dropped ones, so a text of many lines is cut in one walk.
     stretches = F.expr(
-        "transform(sequence(0, size(_gone)), i -> slice(_lines,"
-        " if(i = 0, 1, _gone[i - 1] + 2),"
-        " if(i = size(_gone), size(_lines), _gone[i]) - if(i = 0, 0, _gone[i - 1] + 1)))")
-    return (out.withColumn("n_lines", F.size("_lines").cast("long"))
-            .withColumn("n_dropped", F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long"))
-            .withColumn("kept_text", F.when(F.col("_gone").isNull(), text_of())
-                        .otherwise(F.array_join(F.flatten(stretches), "\n")))
-            .drop("_gone", "_lines"))
+        "transform(sequence(0, size(gone)), i -> slice(lines, if(i = 0, 1, gone[i - 1] + 2),"
+        " if(i = size(gone), size(lines), gone[i]) - if(i = 0, 0, gone[i - 1] + 1)))")
+    return (docs.select(row_key().alias("row"), text_of().alias("text"), F.struct("*").alias("doc"))
+            .join(dropped, "row", "left").withColumn("lines", lines_of(F.col("text")))
+            .select("doc", F.size("lines").cast("long").alias("n_lines"),
+                    F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
+                    F.when(F.col("gone").isNull(), F.col("text"))
+                    .otherwise(F.array_join(F.flatten(stretches), "\n")).alias("kept_text")))
+
+
+def without_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
+    """``docs`` with the frequent lines cut from ``text``; ``n_chars`` follows where it is a column.
+
+    A document left without a line keeps an empty text.
+    """
+    cut = cut_lines(docs, min_docs, min_chars)
+    fresh = {"text": F.when(F.col("doc.text").isNull(), F.lit(None)).otherwise(F.col("kept_text")),
+             "n_chars": F.when(F.col("n_dropped") == 0, F.col("doc.n_chars") if "n_chars" in docs.columns else F.lit(0))
+             .otherwise(F.length("kept_text"))}
+    return cut.select([(fresh[f.name].cast(f.dataType) if f.name in fresh else F.col("doc")[f.name]).alias(f.name)
+                       for f in docs.schema])
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """One row per document: line counts and the SHA-256 of what stays of its text."""
-    return drop_frequent_lines(docs, min_docs, min_chars).select(
-        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return cut_lines(docs.select("doc_id", "text"), min_docs, min_chars).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 SQL = r"""

@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareledger.llm import line_dedup as lines
+from fareledger.llm import near_dups
 from fareledger.llm import quality_rules as quality
+from fareledger.llm import toxicity as toxic
 from fareledger.llm.common import table
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
@@ -19,9 +25,16 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), trusted)
 
 
+def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.jaccard_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_copies", "n_links")
+
+
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op9_near_dups": op9_near_dups,
 }
 ORACLE = {
     "op5_line_dedup": lines.SQL,

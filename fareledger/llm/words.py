@@ -128,3 +128,8 @@ def grams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
         out *= _STEP
         out += np.where(begin + k < last, padded[begin + k], np.uint64(0))
     return mix(out + np.uint64(n)), first
+
+
+def mix_fast(x: np.ndarray) -> np.ndarray:
+    """A cheap scrambling for values that a multiplication has already spread."""
+    return x ^ (x >> np.uint64(29))
