@@ -32,7 +32,7 @@ from fareledger.llm import words as W
 from fareledger.llm.common import slices, stored
 from fareledger.llm.toxicity import held_out
 
-ORDER, PRIOR = 2, 2.0
+ORDER, PRIOR = 2, 100.0
 CHUNK_TOKENS = 3_000_000
 SHARD_GRAMS = 3_000_000
 _END = np.uint64(0x5EED5EED5EED5EED)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareledger.llm import decontam, near_dups, packing
+from fareledger.llm import chat, decontam, language_model, licenses, near_dups, packing, token_files
 from fareledger.llm import line_dedup as lines
 from fareledger.llm import quality_rules as quality
 from fareledger.llm import toxicity as toxic
@@ -16,6 +16,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licence_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -33,19 +37,42 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), trusted)
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.raw_transcripts(table(spark, sf_dir, "conversations"))
+    known = turns.where(~toxic.held_out(F.col("conv_id"), 5))
+    return chat.format_chats(turns, known)
+
+
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.jaccard_classes(table(spark, sf_dir, "documents")).select(
         "doc_id", "class_id", "n_copies", "n_links")
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    files = token_files.write_token_files(table(spark, sf_dir, "documents"),
+                                          public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_token_files(files)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_chat_format": op7_chat_format,
+    "op8_language_model": op8_language_model,
     "op9_near_dups": op9_near_dups,
+    "op10_token_files": op10_token_files,
 }
 ORACLE = {
+    "op2_license_scan": licenses.SQL,
     "op5_line_dedup": lines.SQL,
 }

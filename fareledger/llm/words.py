@@ -18,8 +18,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
-#: A random 64-bit value of each byte, the same for upper and lower case.
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)[_LOWER] | np.uint64(1)
+#: A random 64-bit value of each byte, and the same for upper and lower case.
+EXACT = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+FOLDED = EXACT[_LOWER]
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -85,6 +86,10 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _SPACE[data]
+
+
 def split(texts: pa.Array) -> Words:
     """All words of all texts, nothing cut."""
     data, at = buffers(texts)
@@ -99,7 +104,7 @@ def split(texts: pa.Array) -> Words:
     return Words(prints(data, start, stop), first, start, stop, data)
 
 
-def prints(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+def prints(data: np.ndarray, start: np.ndarray, stop: np.ndarray, values: np.ndarray = FOLDED) -> np.ndarray:
     """Fingerprint of each byte range ``start:stop`` of ``data``: a polynomial of its bytes.
 
     One running sum over all bytes serves every range; dividing by the power at the range's
@@ -107,7 +112,7 @@ def prints(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """
     up, down = _POWERS.to(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.multiply(_BYTE[data], up[:len(data)], out=total[1:])
+    np.multiply(values[data], up[:len(data)], out=total[1:])
     np.cumsum(total, out=total)
     return mix((total[stop] - total[start]) * down[start] + (stop - start).astype(np.uint64))
 
