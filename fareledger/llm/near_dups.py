@@ -190,7 +190,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
 
     tasks = max(1, groups.count() // TASK_NODES)
-    texts = rows.select("row", "text").join(groups, "row")
+    # The groups grow with the corpus, so they are merged with the texts at every size.
+    texts = rows.select("row", "text").join(groups.hint("merge"), "row")
     sets = texts.mapInArrow(run_sets, "comp long, blocks int, node long, copies long, runs binary")
     own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
     dealt = (sets.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -217,4 +218,4 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that their class is named after; texts without words all stay."""
     kept = jaccard_classes(docs, threshold).where("row = class_row").select("row").distinct()
     whole = docs.select(row_key().alias("row"), F.struct("*").alias("doc"))
-    return whole.join(kept, "row", "left_semi").dropDuplicates(["row"]).select("doc.*")
+    return whole.join(kept.hint("merge"), "row", "left_semi").dropDuplicates(["row"]).select("doc.*")
