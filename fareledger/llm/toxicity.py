@@ -32,7 +32,7 @@ WORD_ROWS, CHAR_ROWS = 1 << 15, 1 << 14
 SAMPLE = 2500
 EPOCHS, BATCH, RATE = 10, 64, 0.01
 PICKED = (0, 1, 3, 6)  # epochs that pick each document's window anew
-SCORED = 4096  # windows scored at once
+SCORED = 2048  # windows scored at once
 CUT = 0.3
 _FOUR = np.array([1, 257, 66049, 16974593], np.uint64)
 
@@ -257,26 +257,42 @@ def train(texts: pa.Array, toxic: np.ndarray, share: float, seed: int = 3) -> Ne
         net.prior = float(share)
         return net
     rng = np.random.default_rng(seed)
-    e = encode(texts)
+    parts = [encode(part.column("text")) for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]))]
+    labels = np.split(toxic.astype(np.float32), np.cumsum([len(e.first) - 1 for e in parts])[:-1])
     sample = toxic.mean()
     for epoch in range(EPOCHS):
         if epoch in PICKED:
-            text, start, length, logit = net.window_logits(e)
-            order = np.lexsort((-logit if epoch else rng.random(len(logit)), text))
-            best = order[np.searchsorted(text[order], np.arange(len(texts)))]
-            best = best[length[best] > 0]
-        rng.shuffle(best)
-        for low in range(0, len(best), BATCH):
-            own = best[low:low + BATCH]
-            net.learn(_only(e, start[own], length[own]), *_packed(length[own]),
-                      toxic[text[own]].astype(np.float32))
+            picked = [_pick(net, e, rng if epoch == 0 else None) for e in parts]
+            e = _join([own for own, _ in picked])
+            label = np.concatenate([known[text] for known, (_, text) in zip(labels, picked)])
+            lengths = np.diff(e.first)
+        order = rng.permutation(len(label))
+        for low in range(0, len(order), BATCH):
+            own = order[low:low + BATCH]
+            net.learn(_only(e, e.first[own], lengths[own]), np.cumsum(lengths[own]) - lengths[own], lengths[own],
+                      label[own])
     net.moments = {}
     net.shift = float(np.log(share / (1 - share)) - np.log(sample / (1 - sample)))
     return net
 
 
-def _packed(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.cumsum(lengths) - lengths, lengths
+def _pick(net: Network, e: Encoded, rng: np.random.Generator | None) -> tuple[Encoded, np.ndarray]:
+    """The most toxic window of each text that has words (any window before there is a network)."""
+    text, start, length, logit = net.window_logits(e)
+    order = np.lexsort((-logit if rng is None else rng.random(len(logit)), text))
+    best = order[np.searchsorted(text[order], np.arange(len(e.first) - 1))]
+    best = best[length[best] > 0]
+    return _only(e, start[best], length[best]), text[best]
+
+
+def _join(parts: list[Encoded]) -> Encoded:
+    """Several encodings as one."""
+    words, distinct, grams = (np.cumsum([0, *n]) for n in (
+        [len(e.place) for e in parts], [len(e.bucket) for e in parts], [len(e.gram) for e in parts]))
+    return Encoded(np.concatenate([e.place + d for e, d in zip(parts, distinct)]),
+                   np.append(np.concatenate([e.first[:-1] + w for e, w in zip(parts, words)]), words[-1]),
+                   np.concatenate([e.bucket for e in parts]), np.concatenate([e.gram for e in parts]),
+                   np.concatenate([e.gram_first + g for e, g in zip(parts, grams)]))
 
 
 def _only(e: Encoded, start: np.ndarray, length: np.ndarray) -> Encoded:
