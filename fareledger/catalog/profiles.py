@@ -208,7 +208,7 @@ def _long(sql: str, section: str, metrics: list[str], text: tuple = (), column:
 
 
 def _long_counts(sql: str, section: str) -> str:
-    return f"""SELECT source, '{section}' AS section, "column", coalesce("value", '(null)') AS metric,
+    return f"""SELECT source, '{section}' AS section, "column", "value" AS metric,
       CAST("count" AS DOUBLE) AS "number", CAST(NULL AS VARCHAR) AS "text" FROM ({sql}) AS part"""
 
 

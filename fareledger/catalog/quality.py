@@ -66,6 +66,12 @@ def q_domain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.domain_counts(checked_rows(spark, sf_dir), LINE_RULES, [KEY])
 
 
+def q_domain_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = checked_rows(spark, sf_dir)
+    targets = rows.groupBy(KEY).agg(F.first(KEY).alias("run_id"))
+    return quality.quality_values(quality.domain_counts(rows, LINE_RULES, [KEY]), targets, KEY)
+
+
 def q_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.domain_checks(checked_rows(spark, sf_dir), LINE_RULES, [KEY])
 
@@ -138,6 +144,7 @@ def q_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "q_scalar": q_scalar, "q_domain_counts": q_domain_counts, "q_domain": q_domain,
+    "q_domain_values": q_domain_values,
     "q_reference": q_reference, "q_duplicates": q_duplicates,
     "q_duplicates_wide": q_duplicates_wide, "q_results": q_results, "q_upsert": q_upsert,
     "q_counters": q_counters, "q_overview": q_overview, "q_severity": q_severity,
@@ -171,12 +178,7 @@ FROM t WHERE payment_type NOT IN {PAYMENTS} GROUP BY 1, 3
 """
 DOMAIN_SQL = f"""
 SELECT source_file_id, check_name, CAST(sum("count") AS BIGINT) AS rows_failed,
-       CAST(CASE WHEN max(text_value) IS NOT NULL
-            THEN json_object('unexpected_values',
-                 list({{'value': text_value, 'count': "count"}} ORDER BY text_value))
-            ELSE json_object('unexpected_values',
-                 list({{'value': int_value, 'count': "count"}} ORDER BY int_value)) END AS VARCHAR)
-       AS details
+       '{{"unexpected_value_count":' || CAST(count(*) AS VARCHAR) || '}}' AS details
 FROM ({DOMAIN_COUNTS_SQL}) AS c GROUP BY 1, 2
 """
 REFERENCE_SQL = " UNION ALL ".join(
@@ -213,7 +215,7 @@ results AS (
          CASE WHEN coalesce(m.rows_failed, 0) = 0 THEN 'passed' ELSE 'violated' END AS status,
          f.n AS rows_checked, coalesce(m.rows_failed, 0) AS rows_failed,
          coalesce(m.rows_failed, 0) / CAST(f.n AS DOUBLE) AS failure_rate,
-         coalesce(m.details, CASE WHEN r.kind = 'domain' THEN '{{"unexpected_values":[]}}' END) AS details
+         coalesce(m.details, CASE WHEN r.kind = 'domain' THEN '{{"unexpected_value_count":0}}' END) AS details
   FROM files f JOIN rules r ON true
   LEFT JOIN m ON m.source_file_id = f.source_file_id AND m.check_name = r.check_name
 )
@@ -221,6 +223,8 @@ results AS (
 ORACLE = {
     "q_scalar": f"WITH {T_CTE} {SCALAR_SQL}",
     "q_domain_counts": f"WITH {T_CTE} {DOMAIN_COUNTS_SQL}",
+    "q_domain_values": f"""WITH {T_CTE} SELECT source_file_id AS run_id, check_name, int_value,
+      text_value, "count" FROM ({DOMAIN_COUNTS_SQL}) AS c""",
     "q_domain": f"WITH {T_CTE} {DOMAIN_SQL}",
     "q_reference": f"WITH {T_CTE} {REFERENCE_SQL}",
     "q_duplicates": """SELECT CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS participating_rows,

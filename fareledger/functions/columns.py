@@ -78,9 +78,13 @@ def finite(value: Column | str) -> Column:
 
 
 def fold_message(message: Column | str, prefix: str = "Raw ingestion failed: ") -> Column:
-    """One-line failure text of at most 1000 characters."""
-    folded = F.trim(F.regexp_replace(col(message), r"\s+", " "))
-    return F.substring(F.concat(F.lit(prefix), folded), 1, 1000)
+    """Failure text on one line, whole."""
+    return F.concat(F.lit(prefix), F.trim(F.regexp_replace(col(message), r"\s+", " ")))
+
+
+def short_message(message: Column | str, length: int = 1000) -> Column:
+    """The first characters of a stored message, for listings."""
+    return F.substring(col(message), 1, length)
 
 
 def duration_seconds(start: Column | str, end: Column | str) -> Column:
@@ -89,6 +93,7 @@ def duration_seconds(start: Column | str, end: Column | str) -> Column:
 
 
 def duration_label(start: Column | str, end: Column | str) -> Column:
+    # The labels of a run that has not started, and of one that goes on.
     seconds = duration_seconds(start, end)
     hours = F.floor(seconds / 3600).cast("long")
     minutes = F.floor(F.pmod(seconds, F.lit(3600)) / 60).cast("long")

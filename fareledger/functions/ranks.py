@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -31,9 +32,10 @@ def number_rows(df: DataFrame, *order: Column | str, name: str = "row_number") -
     sizes = (
         stored.groupBy(F.col("_metadata.file_name").alias("_file"))
         .agg(F.count("*").alias("_rows"))
-        .orderBy("_file")
         .collect()
     )
+    # By the number of the task: as text, part-100000 would come before part-99999.
+    sizes.sort(key=lambda row: int(re.search(r"part-(\d+)", row["_file"])[1]))
     offsets, total = [], 0
     for row in sizes:
         offsets.append((row["_file"], total))

@@ -279,7 +279,7 @@ def long_format(df: DataFrame, section: str, column: Column | None = None) -> Da
 def long_counts(df: DataFrame, section: str) -> DataFrame:
     return df.select(
         SOURCE, F.lit(section).alias("section"), "column",
-        F.coalesce("value", F.lit("(null)")).alias("metric"),
+        F.col("value").alias("metric"),  # stays null for null, so no text can be taken for it
         F.col("count").cast("double").alias("number"), F.lit(None).cast("string").alias("text"),
     )
 

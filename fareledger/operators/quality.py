@@ -26,21 +26,26 @@ from fareledger.session import materialize
 from fareledger.sources.schemas import LOADED, SUCCEEDED, TRIP_CONTRACTS
 
 PASSED, VIOLATED = "passed", "violated"
-# A check with more distinct unexpected values keeps them in domain_counts only.
-INLINE_VALUES = 10_000
+# Result ids are run * RESULTS_PER_RUN + ordinal, so a catalog may hold fewer rules than that.
 RESULTS_PER_RUN = 1_000
+NO_VALUES = '{"unexpected_value_count":0}'
 
 
-def scalar_checks(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
-    """Rows and failing rows of every scalar rule per group, in one scan."""
+def scalar_checks(
+    df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], also: Sequence[str] = ()
+) -> DataFrame:
+    """Rows and failing rows of every scalar rule per group, in one scan.
+
+    ``also`` names other checks that get a zero for each group.
+    """
     chosen = of_kind(rules, SCALAR)
     wide = df.groupBy(*keys).agg(
         F.count("*").alias("rows_checked"),
         *[F.count_if(rule.condition()).alias(rule.name) for rule in chosen],
+        *[F.count_if(F.lit(False)).alias(name) for name in also],
     )
-    return wide.unpivot(
-        [*keys, "rows_checked"], [rule.name for rule in chosen], "check_name", "rows_failed"
-    )
+    names = [*(rule.name for rule in chosen), *also]
+    return wide.unpivot([*keys, "rows_checked"], names, "check_name", "rows_failed")
 
 
 def domain_counts(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
@@ -68,37 +73,26 @@ def domain_counts(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) ->
     )
 
 
-def domain_checks(
-    df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], inline: int = INLINE_VALUES
-) -> DataFrame:
-    """Failing rows per domain rule with the unexpected values as JSON in value order.
+def domain_totals(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Failing rows per domain rule and, as details, how many different values they hold.
 
-    The counts are stored once, so the rows are scanned once for totals and listings.
+    Details have one size for any number of values; the values are the rows of ``counts``.
     """
-    counts = materialize(domain_counts(df, rules, keys))
-    group = [*keys, "check_name"]
-    totals = counts.groupBy(*group).agg(
-        F.sum("count").alias("rows_failed"), F.count("*").alias("_values")
+    return counts.groupBy(*keys, "check_name").agg(
+        F.sum("count").alias("rows_failed"),
+        F.to_json(F.struct(F.count("*").alias("unexpected_value_count"))).alias("details"),
     )
-    small = totals.where(F.col("_values") <= inline).select(*group)
-    listed = (
-        counts.join(small, group, "left_semi").groupBy(*group).agg(
-            F.sort_array(F.collect_list(F.when(
-                F.col("int_value").isNotNull(), F.struct(F.col("int_value").alias("value"), "count")
-            ))).alias("_ints"),
-            F.sort_array(F.collect_list(F.when(
-                F.col("text_value").isNotNull(),
-                F.struct(F.col("text_value").alias("value"), "count"),
-            ))).alias("_texts"),
-        )
-    )
-    listing = F.when(
-        F.size("_texts") > 0, F.to_json(F.struct(F.col("_texts").alias("unexpected_values")))
-    ).when(F.col("_ints").isNotNull(),
-           F.to_json(F.struct(F.col("_ints").alias("unexpected_values"))))
-    overflow = F.to_json(F.struct(F.col("_values").alias("unexpected_value_count")))
-    return totals.join(listed, group, "left").select(
-        *group, "rows_failed", F.coalesce(listing, overflow).alias("details")
+
+
+def domain_checks(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
+    """``domain_totals`` of all domain rules, in one scan."""
+    return domain_totals(domain_counts(df, rules, keys), keys)
+
+
+def quality_values(counts: DataFrame, targets: DataFrame, key: str) -> DataFrame:
+    """Every unexpected value of every target run as a row, however many there are."""
+    return targets.select("run_id", key).join(counts, key).select(
+        "run_id", "check_name", "int_value", "text_value", "count"
     )
 
 
@@ -228,10 +222,12 @@ def duplicate_checks(
 def measure(
     df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], dim: DataFrame | None = None,
     dim_key: str | None = None, columns: Sequence[str] | None = None, prefilter: bool = False,
+    values: DataFrame | None = None,
 ) -> DataFrame:
-    """All measures of a catalog in long form, one row per group and check with rows to tell.
+    """All measures of a catalog in long form: one row per group and rule, zero ones included.
 
-    ``prefilter`` looks for duplicates by hash first; it pays on wide rows.
+    ``prefilter`` looks for duplicates by hash first; it pays on wide rows. ``values`` are the
+    stored ``domain_counts`` of the same rows, where they are kept.
     """
     def shaped(part: DataFrame) -> DataFrame:
         return part.select(
@@ -242,15 +238,21 @@ def measure(
             ],
         )
 
-    parts = [shaped(scalar_checks(df, rules, keys))]
+    # Rules that tell of failures only have failed nowhere else, which is a measure too.
+    sparse = [r.name for kind in (DOMAIN, REFERENCE) for r in of_kind(rules, kind)]
+    parts = []
+    if sparse or of_kind(rules, SCALAR):
+        parts.append(shaped(scalar_checks(df, rules, keys, sparse)))
     if of_kind(rules, DOMAIN):
-        parts.append(shaped(domain_checks(df, rules, keys)))
+        counts = domain_counts(df, rules, keys) if values is None else values
+        parts.append(shaped(domain_totals(counts, keys)))
     if of_kind(rules, REFERENCE):
         parts.append(shaped(reference_checks(df, rules, dim, dim_key, keys)))
     if of_kind(rules, DUPLICATE):
         chosen = list(columns) if columns else [c for c in df.columns if not c.startswith("_")]
         parts.append(shaped(duplicate_checks(df, rules, chosen, keys, prefilter)))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).groupBy(*keys, "check_name").agg(
+        *[F.max(c).alias(c) for c in ("rows_failed", "details", "rows_checked")])
 
 
 def quality_results(
@@ -259,9 +261,16 @@ def quality_results(
 ) -> DataFrame:
     """One result row per target run and rule.
 
-    ``targets`` has ``run_id`` and ``key``. A rule without a measure failed nowhere; a group
-    without rows has rate 0.0. The id depends only on run and rule, so a rerun keeps it.
+    ``targets`` has ``run_id`` and ``key``. A group without rows has rate 0.0; where there are
+    rows, a rule of the catalog that was not measured is an error, and so is a measure of no
+    rule. The id depends only on run and rule, so a rerun keeps it.
     """
+    if len(rules) >= RESULTS_PER_RUN:
+        raise ValueError(f"{len(rules)} rules; result ids have room for {RESULTS_PER_RUN - 1}")
+    known = [rule.name for rule in rules]
+    measures = measures.where(F.when(F.col("check_name").isin(known), F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("measured, but in no catalog: "), "check_name"))
+        .cast("boolean")))
     per_group = measures.groupBy(key).agg(
         F.map_from_entries(
             F.collect_list(F.struct("check_name", F.struct("rows_failed", "details")))
@@ -280,14 +289,17 @@ def quality_results(
         F.coalesce("_rows", F.lit(0)).alias("rows_checked"),
     )
     found = F.try_element_at("_by_check", F.col("_r.check_name"))
-    no_details = F.when(F.col("_r.kind") == DOMAIN, F.lit('{"unexpected_values":[]}')).when(
+    no_details = F.when(F.col("_r.kind") == DOMAIN, F.lit(NO_VALUES)).when(
         F.col("_r.kind") == DUPLICATE,
         F.lit('{"duplicate_excess_rows":0,"duplicate_groups":0}'),
     )
     flat = rows.select(
         (F.col("run_id") * RESULTS_PER_RUN + F.col("_r.ordinal")).alias("quality_result_id"),
         "run_id", "_r.check_name", "_r.severity", "rows_checked",
-        F.coalesce(found["rows_failed"], F.lit(0)).alias("rows_failed"),
+        F.when(F.col("_by_check").isNull(), F.lit(0)).otherwise(F.coalesce(
+            found["rows_failed"], F.raise_error(F.concat(
+                F.lit("in the catalog, but not measured: "), F.col("_r.check_name"))).cast("bigint"),
+        )).alias("rows_failed"),
         F.coalesce(found["details"], no_details).alias("details"),
     )
     at = executed_at if isinstance(executed_at, Column) else F.lit(executed_at)

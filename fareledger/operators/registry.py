@@ -77,11 +77,16 @@ def register(manifest: DataFrame, registry: DataFrame, arrival: str = "partition
 
     A known (partition, checksum) keeps its id and status. Otherwise the first version of an
     unknown partition is ready and any other is a revision; ids continue after the largest
-    known one in arrival order. First arrivals are found by partial aggregates, so a
+    known one in arrival order. A version of no or unknown size is an error; ``refused`` lists
+    them beforehand. First arrivals are found by partial aggregates, so a
     partition with a large share of all versions is never gathered in one task.
     """
+    # Part of the filter, so that no plan can prune the refusal away.
+    sized = F.when(F.coalesce(F.col("file_size_bytes") > 0, F.lit(False)), F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("refused, a version without bytes: "), "partition_key"))
+        .cast("boolean"))
     versions = (
-        manifest.where(F.col("file_size_bytes") > 0)
+        manifest.where(sized)
         .groupBy("partition_key", "checksum_sha256")
         .agg(F.min(F.struct(
             F.col(arrival).alias("_arrival"),

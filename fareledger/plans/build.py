@@ -12,6 +12,7 @@ from fareledger.operators import checks
 from fareledger.operators.registry import raise_if_any
 from fareledger.plans import star
 from fareledger.plans.ingest import registry_state
+from fareledger.session import materialize
 from fareledger.sources.schemas import LOADED, ZONE_PARTITION
 from fareledger.sources.seeds import read_seed
 from fareledger.sources.tables import Warehouse, write_view
@@ -131,21 +132,38 @@ def _require(tests: dict[str, DataFrame]) -> None:
 
 
 def build_all(warehouse: Warehouse, full_refresh: bool = False) -> Models:
-    """Staging, canonical trips, dimensions, facts: each tested before the next uses it."""
+    """Staging, canonical trips, dimensions, facts: each tested before the next uses it.
+
+    A later build reads the raw partitions of new file versions only, and none if there are none.
+    """
     spark, registry = warehouse.spark, registry_state(warehouse)
     yellow = write_view(star.stage_yellow(warehouse.raw("yellow_tripdata"), registry), "stg_yellow")
     green = write_view(star.stage_green(warehouse.raw("green_tripdata"), registry), "stg_green")
     zones = write_view(star.stage_zones(warehouse.raw("taxi_zone_lookup"), registry), "stg_zones")
     trips = write_view(star.enrich(star.normalize(yellow, green)), "int_trips_enriched")
 
-    dates = warehouse.write_table(star.dim_date(trips), "marts/dim_date")
     dim_zone = warehouse.write_table(star.dim_zone(zones), "marts/dim_zone")
     dim_vendor = warehouse.write_table(
         star.dim_vendor(read_seed(spark, "vendors")), "marts/dim_vendor"
     )
+    rebuild = full_refresh or not warehouse.exists(star.FACT_TABLE)
+    if rebuild:
+        arriving, dates = trips, star.dim_date(trips)
+    else:
+        fresh = materialize(star.new_sources(registry, star.stored_files(warehouse)))
+        dates, facts = warehouse.read("marts/dim_date"), warehouse.read(star.FACT_TABLE)
+        if fresh.where((F.col("status") == LOADED) & F.col("service_type").isNotNull()).isEmpty():
+            _require(dimension_tests(dates, dim_zone, dim_vendor))
+            return Models(registry, yellow, green, zones, trips, dates, dim_zone, dim_vendor, facts)
+        arriving = star.enrich(star.normalize(
+            star.stage_yellow(warehouse.raw("yellow_tripdata"), fresh),
+            star.stage_green(warehouse.raw("green_tripdata"), fresh),
+        ))
+        dates = materialize(star.dim_date(arriving, dates))
+    dates = warehouse.write_table(dates, "marts/dim_date")
     _require(dimension_tests(dates, dim_zone, dim_vendor))
     facts = star.incremental_fact(
-        trips, warehouse, fact_builder(dates, dim_zone, dim_vendor), full_refresh
+        arriving, warehouse, fact_builder(dates, dim_zone, dim_vendor), full_refresh, only_new=True
     )
     return Models(registry, yellow, green, zones, trips, dates, dim_zone, dim_vendor, facts)
 

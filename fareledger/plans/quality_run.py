@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareledger.operators.quality import (
+    domain_counts,
     measure,
     quality_results,
+    quality_values,
     target_problems,
     violation_counters,
 )
@@ -38,7 +40,7 @@ def run_quality_checks(
     raise_if_any(targets.where("problem IS NOT NULL"))
     zones = _active_zones(warehouse, sources)
 
-    parts = []
+    parts, values = [], []
     for dataset, contract in TRIP_CONTRACTS.items():
         mine = targets.where(F.col("dataset_name") == dataset).withColumnRenamed(
             "source_file_id", "_source_file_id"
@@ -47,17 +49,19 @@ def run_quality_checks(
             "_source_file_id", F.col("source_year").alias("_source_year"),
             F.col("source_month").alias("_source_month"),
         ).distinct()
-        ids = [row[0] for row in months.select("_source_file_id").collect()]
-        if not ids:
+        if mine.isEmpty():
             continue
-        rows = warehouse.raw(dataset).where(F.col("_source_file_id").isin(ids)).join(
-            months, "_source_file_id"
-        )
+        # The file id is the partition column, so the join prunes the scan.
+        rows = warehouse.raw(dataset).join(months, "_source_file_id")
         rules = rule_catalog(dataset)
+        counts = materialize(domain_counts(rows, rules, ["_source_file_id"]))
+        values.append(quality_values(counts, mine, "_source_file_id"))
         measures = measure(rows, rules, ["_source_file_id"], zones, "LocationID", contract.names,
-                           prefilter=True)
+                           prefilter=True, values=counts)
         parts.append(quality_results(measures, rules, mine, "_source_file_id", at))
     results = materialize(reduce(DataFrame.unionByName, parts))
+    write_partitions(reduce(DataFrame.unionByName, values),
+                     warehouse.path("ops/quality_values"), "run_id")
     write_partitions(results, warehouse.path("ops/quality_results"), "run_id")
     counters = violation_counters(results)
     warehouse.append(quality_events(counters, warehouse.run_events()), "ops/run_events")

@@ -118,11 +118,17 @@ def observed_dates(trips: DataFrame) -> DataFrame:
     return melt(trips, [], days, "role", "full_date").select("full_date").distinct()
 
 
-def dim_date(trips: DataFrame) -> DataFrame:
-    """One row per observed date plus the key-0 Unknown member."""
+def dim_date(trips: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """One row per observed date plus the key-0 Unknown member.
+
+    ``earlier`` is the dimension of trips that need not be read again.
+    """
     day = F.col("full_date")
     weekday = F.weekday(day) + 1
-    known = observed_dates(trips).select(
+    days = observed_dates(trips)
+    if earlier is not None:
+        days = days.unionByName(earlier.select("full_date").where(day.isNotNull())).distinct()
+    known = days.select(
         date_key(day).alias("date_key"), "full_date",
         F.year(day).alias("year"), F.quarter(day).alias("quarter"), F.month(day).alias("month"),
         F.date_format(day, "MMMM").alias("month_name"), F.day(day).alias("day"),
@@ -199,6 +205,15 @@ def build_fact(
     )
 
 
+def new_sources(registry: DataFrame, present: DataFrame) -> DataFrame:
+    """Registered versions that a table does not hold yet; no trip is read to find them.
+
+    An anti join of trips with the ids they are stored under would scan all history. Staging
+    this remainder of the registry instead prunes the raw partitions by its semi join.
+    """
+    return registry.join(present.select("source_file_id").distinct(), "source_file_id", "left_anti")
+
+
 def new_files(trips: DataFrame, present: DataFrame) -> DataFrame:
     """Trips of files that the fact table does not hold yet."""
     return trips.join(present.select("source_file_id").distinct(), "source_file_id", "left_anti")
@@ -214,10 +229,12 @@ def stored_files(warehouse: Warehouse, table: str = FACT_TABLE) -> DataFrame:
 
 def incremental_fact(
     trips: DataFrame, warehouse: Warehouse, build, full_refresh: bool = False,
-    table: str = FACT_TABLE, rebalance: bool = False,
+    table: str = FACT_TABLE, rebalance: bool = False, only_new: bool = False,
 ) -> DataFrame:
     """Add the facts of new files, or rebuild all of them.
 
+    ``only_new`` says that ``trips`` are staged from ``new_sources`` already.
+
     ``build`` turns enriched trips into facts. The table is partitioned by file, so known
     ids are a partition listing and writing touches only new partitions. Rows are sorted
     inside each partition by date key and service for row-group skipping. Raw tables are
@@ -226,7 +243,7 @@ def incremental_fact(
     """
     path = warehouse.path(table)
     rebuild = full_refresh or not warehouse.exists(table)
-    if not rebuild:
+    if not rebuild and not only_new:
         trips = new_files(trips, stored_files(warehouse, table))
     facts = build(trips)
     if rebalance:

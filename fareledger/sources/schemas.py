@@ -151,6 +151,10 @@ QUALITY_RESULTS = struct((
     ("rows_failed", "bigint"), ("failure_rate", "double"), ("details", "string"),
     ("executed_at", "timestamp"),
 ))
+QUALITY_VALUES = struct((
+    ("run_id", "bigint"), ("check_name", "string"), ("int_value", "bigint"),
+    ("text_value", "string"), ("count", "bigint"),
+))
 CANONICAL = struct((
     ("service_type", "string"), ("vendor_id", "int"), ("pickup_datetime", "timestamp_ntz"),
     ("dropoff_datetime", "timestamp_ntz"), ("passenger_count", "bigint"),

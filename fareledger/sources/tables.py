@@ -9,6 +9,7 @@ from fareledger.sources.readers import empty
 from fareledger.sources.schemas import (
     CONTRACTS,
     QUALITY_RESULTS,
+    QUALITY_VALUES,
     RUN_EVENTS,
     SOURCE_FILES,
 )
@@ -86,6 +87,10 @@ class Warehouse:
     def quality_results(self) -> DataFrame:
         return self.read("ops/quality_results", QUALITY_RESULTS)
 
+    def quality_values(self) -> DataFrame:
+        """Unexpected values of domain rules, one row each."""
+        return self.read("ops/quality_values", QUALITY_VALUES)
+
 
 def write_profile(profile: DataFrame, path: str) -> None:
     """Long-format profile as JSON lines in a fixed order.

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fareledger.session import literal_table
 from fareledger.sources import contracts, manifest
-from fareledger.sources.landing import resolve_month, trip_source, zone_source
+from fareledger.sources.landing import Month, resolve_month, trip_source, zone_source
 from fareledger.sources.schemas import GREEN, YELLOW
 from tests.conftest import GREEN_ROWS, YELLOW_ROWS, arrow_schema, at, rows, write_rows
 
@@ -155,10 +155,9 @@ def test_months_and_partitions():
             trip_source("yellow", year, month)
     with pytest.raises(ValueError):
         trip_source("blue", 2025, 1)
-    assert resolve_month(at("2025-04-10"))["partition_label"] == "2025-02"
-    assert resolve_month(at("2025-01-10"))["partition_label"] == "2024-11"
-    assert resolve_month(at("2025-01-10"), 2024, 7)["partition_label"] == "2024-07"
-    with pytest.raises(ValueError):
-        resolve_month(at("2025-01-10"), year=2024)
-    with pytest.raises(ValueError):
-        resolve_month(at("2025-01-10"), 2024, True)
+    assert resolve_month(at("2023-12-31")) == (2023, 10)
+    assert resolve_month(at("2026-02-01")).label == "2025-12"
+    assert resolve_month(at("2026-02-01"), Month(2019, 5)).label == "2019-05"
+    for wrong in (Month(2024, None), Month(2024, True), Month(2024, 1.0), Month(24, 1)):
+        with pytest.raises(ValueError):
+            resolve_month(at("2026-02-01"), wrong)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from fareledger.operators.registry import current_sources, register
+from fareledger.operators.registry import current_sources, refused, register
 from fareledger.operators.runs import current_runs
 from fareledger.plans import ingest
 from fareledger.plans.ingest import (
@@ -117,8 +117,11 @@ def test_registration_rules(spark, warehouse, landing):
     ]
     again = register(manifest, outcome.drop("decision"), "path")
     assert {(r["source_file_id"], r["is_new"]) for r in rows(again)} == {(1, False), (2, False)}
-    nothing = register(manifest.withColumn("file_size_bytes", F.lit(0)), outcome, "path")
-    assert rows(nothing) == []
+    for size in (F.lit(0), F.lit(None).cast("bigint")):
+        hollow = manifest.withColumn("file_size_bytes", size)
+        assert refused(hollow).count() == 2
+        with pytest.raises(Exception, match="refused, a version without bytes: yellow/2025/01"):
+            rows(register(hollow, outcome, "path").select("partition_key"))
 
 
 def test_zone_csv_text_is_kept(spark, tmp_path):

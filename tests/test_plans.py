@@ -71,3 +71,22 @@ def test_top_zones_keeps_only_the_top_rows(spark):
 def test_session_settings(spark):
     assert local_session().conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_incremental_build_prunes_raw_partitions(spark, warehouse, landing):
+    """A build after a load reads the new versions' partitions, and none if there are none."""
+    from fareledger.plans.build import build_all
+    from fareledger.plans.ingest import ingest_batch, registry_state
+    from fareledger.session import materialize
+    from fareledger.sources.landing import trip_source, zone_source
+    root = str(landing)
+    ingest_batch(warehouse, [zone_source(root), trip_source("yellow", 2025, 1, root)])
+    build_all(warehouse)
+    registry = registry_state(warehouse)
+    assert star.new_sources(registry, star.stored_files(warehouse)).where(
+        "service_type IS NOT NULL").count() == 0
+    ingest_batch(warehouse, [trip_source("green", 2025, 1, root)])
+    fresh = materialize(star.new_sources(registry_state(warehouse), star.stored_files(warehouse)))
+    staged = star.stage_green(warehouse.raw("green_tripdata"), fresh)
+    assert "dynamicpruning" in plan(staged)
+    assert build_all(warehouse).facts.count() == 6

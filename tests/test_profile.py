@@ -103,7 +103,7 @@ def test_service_profile_compare_and_report(spark, tmp_path):
     assert got["jan", "numeric", "fare_amount", "p50"] == 10.0
     assert got["jan", "numeric", "trip_duration_seconds", "count_lt_0"] == 1
     assert got["jan", "unmatched", "PULocationID", "999"] == 1
-    assert got["jan", "domain", "store_and_fwd_flag", "(null)"] == 1
+    assert got["jan", "domain", "store_and_fwd_flag", None] == 1
     assert got["feb", "duplicates", "*", "total_rows"] == 2
     delta = {(r["section"], r["column"], r["metric"]): r["delta"]
              for r in rows(profile.profile_compare(long, "jan", "feb"))}

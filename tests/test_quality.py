@@ -13,43 +13,62 @@ from fareledger.plans.quality_run import run_partition_quality, run_quality_chec
 from fareledger.session import literal_table
 from fareledger.sources.landing import trip_source, zone_source
 from fareledger.sources.schemas import GREEN, YELLOW
-from tests.conftest import at, row, rows, write_rows
-
-COMMON = row(YELLOW.names, [1, at("2025-01-10 10:00"), at("2025-01-10 10:10"), 1, 1.0, 1, "N", 1, 1,
-                            1, 10.0, 0.0, .5, 2.0, 0.0, 1.0, 13.5, 0.0, 0.0, .75])
-ODD = {"VendorID": 99, "passenger_count": 0, "trip_distance": 0.0, "RatecodeID": 88,
-       "store_and_fwd_flag": "X", "PULocationID": 999, "DOLocationID": 888, "payment_type": 9,
-       "fare_amount": -5.0}
-EARLY = (at("2024-12-31 23:59"), at("2024-12-30 23:59"))
-YELLOW_CASES = [
-    COMMON, COMMON,
-    COMMON | ODD | {"tpep_pickup_datetime": EARLY[0], "tpep_dropoff_datetime": EARLY[1]},
-    COMMON | dict.fromkeys(["passenger_count", "RatecodeID", "store_and_fwd_flag",
-                            "congestion_surcharge", "Airport_fee"]),
-]
-GREEN_COMMON = {n: COMMON.get(n) for n in GREEN.names} | {
-    "lpep_pickup_datetime": at("2025-01-10 10:00"), "lpep_dropoff_datetime": at("2025-01-10 10:10"),
-    "trip_type": 1, "ehail_fee": None,
+from fareledger.sources.tables import write_partitions
+from tests.conftest import at, rows, write_rows
+
+# Each case breaks what its name says; together they break every rule of both catalogs.
+PLAIN = {
+    "VendorID": 2, "passenger_count": 3, "trip_distance": 4.4, "RatecodeID": 5,
+    "store_and_fwd_flag": "Y", "PULocationID": 40, "DOLocationID": 41, "payment_type": 2,
+    "fare_amount": 22.0, "extra": 1.5, "mta_tax": .25, "tip_amount": 3.0, "tolls_amount": 6.0,
+    "improvement_surcharge": .3, "total_amount": 35.05, "congestion_surcharge": 2.5,
+    "Airport_fee": 1.25, "cbd_congestion_fee": .5, "trip_type": 2, "ehail_fee": .75,
 }
-GREEN_CASES = [
-    GREEN_COMMON, GREEN_COMMON,
-    GREEN_COMMON | ODD | {"lpep_pickup_datetime": EARLY[0], "lpep_dropoff_datetime": EARLY[1],
-                          "trip_type": 3, "ehail_fee": -1.0},
-    GREEN_COMMON | dict.fromkeys(["passenger_count", "RatecodeID", "store_and_fwd_flag",
-                                  "congestion_surcharge"]),
+AMOUNTS = ["trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+           "improvement_surcharge", "total_amount", "congestion_surcharge", "Airport_fee",
+           "cbd_congestion_fee", "ehail_fee"]
+STRANGE = {"VendorID": 3, "RatecodeID": 7, "store_and_fwd_flag": "?", "payment_type": 42,
+           "PULocationID": 400, "DOLocationID": 410, "trip_type": 0}
+BARE = dict.fromkeys(["passenger_count", "RatecodeID", "store_and_fwd_flag",
+                      "congestion_surcharge", "Airport_fee", "ehail_fee"])
+CASES = [
+    ({}, "06-14 08:00", "06-14 08:20"), ({}, "06-14 08:00", "06-14 08:20"),
+    ({}, "06-14 08:00", "06-14 08:20"),
+    ({c: -PLAIN[c] for c in AMOUNTS}, "06-15 09:00", "06-15 09:30"),
+    ({"trip_distance": 0.0, "passenger_count": 0}, "06-16 10:00", "06-16 10:05"),
+    (STRANGE, "06-17 11:00", "06-17 11:45"),
+    (STRANGE | {"VendorID": 4}, "06-17 12:00", "06-17 12:45"),
+    (BARE, "06-18 12:00", "06-18 11:59"),
+    ({"extra": 0.0}, "07-01 00:00", "07-01 00:09"),
 ]
 
 
+def cases(contract, prefix):
+    made = []
+    for changes, start, stop in CASES:
+        values = PLAIN | changes | {f"{prefix}_pickup_datetime": at(f"2019-{start}"),
+                                    f"{prefix}_dropoff_datetime": at(f"2019-{stop}")}
+        made.append({name: values[name] for name in contract.names})
+    return made
+
+
+# Failing rows of each kind of case; every other rule fails in one row.
+SEVERAL = {"exact_duplicate_source_rows": 3} | dict.fromkeys(
+    ["unexpected_vendor_id", "unexpected_rate_code", "unexpected_store_and_fwd_flag",
+     "unexpected_payment_type", "unexpected_trip_type", "unknown_pickup_zone",
+     "unknown_dropoff_zone"], 2)
+
+
 @pytest.fixture
 def loaded(spark, warehouse, tmp_path):
     root = tmp_path / "cases"
-    write_rows(root / "data/landing/yellow/2025/01.parquet", YELLOW.fields, YELLOW_CASES)
-    write_rows(root / "data/landing/green/2025/01.parquet", GREEN.fields, GREEN_CASES)
+    write_rows(root / "data/landing/yellow/2019/06.parquet", YELLOW.fields, cases(YELLOW, "tpep"))
+    write_rows(root / "data/landing/green/2019/06.parquet", GREEN.fields, cases(GREEN, "lpep"))
     zones = root / "data/landing/reference/taxi_zone_lookup.csv"
     zones.parent.mkdir(parents=True)
-    zones.write_text("LocationID,Borough,Zone,service_zone\n1,Manhattan,Alpha,Yellow Zone\n")
-    ingest_batch(warehouse, [trip_source("yellow", 2025, 1, str(root)),
-                             trip_source("green", 2025, 1, str(root)), zone_source(str(root))])
+    zones.write_text("LocationID,Borough,Zone,service_zone\n40,North,Quay,A\n41,South,Mill,B\n")
+    ingest_batch(warehouse, [trip_source("yellow", 2019, 6, str(root)),
+                             trip_source("green", 2019, 6, str(root)), zone_source(str(root))])
     return warehouse
 
 
@@ -58,51 +77,57 @@ def run_of(warehouse, service):
                 if r["dataset_name"] == f"{service}_tripdata")
 
 
-def test_golden_results_and_rerun(spark, loaded):
-    yellow, green = run_of(loaded, "yellow"), run_of(loaded, "green")
-    summary = {r["run_id"]: r for r in rows(run_quality_checks(loaded, [yellow, green]))}
-    assert summary[yellow]["rows_checked"] == summary[green]["rows_checked"] == 4
-    assert summary[yellow]["check_count"] == 27 and summary[green]["check_count"] == 28
-    assert (summary[yellow]["warnings_violated"], summary[yellow]["errors_violated"]) == (10, 0)
-    assert summary[yellow]["partition_key"] == "yellow/2025/01"
-
-    first = rows(run_quality(loaded.quality_results(), yellow))
-    by = {r["check_name"]: r for r in first}
-    assert [r["check_name"] for r in first] == [r.name for r in rule_catalog("yellow_tripdata")]
-    failed = {name: by[name]["rows_failed"] for name in (
-        "negative_fare_amount", "zero_trip_distance", "passenger_count_null_rate",
-        "unknown_pickup_zone", "unknown_dropoff_zone", "pickup_outside_source_month",
-        "dropoff_before_pickup")}
-    assert set(failed.values()) == {1}
-    assert json.loads(by["unexpected_vendor_id"]["details"]) == {
-        "unexpected_values": [{"value": 99, "count": 1}]
-    }
-    assert json.loads(by["unexpected_store_and_fwd_flag"]["details"]) == {
-        "unexpected_values": [{"value": "X", "count": 1}]
-    }
-    copies = by["exact_duplicate_source_rows"]
-    assert copies["rows_failed"] == 2 and copies["failure_rate"] == 0.5
-    assert json.loads(copies["details"]) == {"duplicate_excess_rows": 1, "duplicate_groups": 1}
-    assert by["negative_extra"]["status"] == "passed" and by["negative_extra"]["details"] is None
-
-    checks = {r["check_name"]: r for r in rows(run_quality(loaded.quality_results(), green))}
-    assert checks["negative_fare_amount"]["rows_failed"] == 1
-    assert checks["negative_ehail_fee"]["rows_failed"] == 1
-    assert checks["ehail_fee_null_rate"]["rows_failed"] == 3
-    assert json.loads(checks["unexpected_trip_type"]["details"]) == {
-        "unexpected_values": [{"value": 3, "count": 1}]
-    }
-
-    later = datetime(2030, 1, 1, tzinfo=UTC)
-    run_partition_quality(loaded, "yellow", 2025, 1, later)
-    again = rows(run_quality(loaded.quality_results(), yellow))
+def test_every_rule_is_broken_and_a_rerun_keeps_ids(spark, loaded):
+    runs = {service: run_of(loaded, service) for service in ("yellow", "green")}
+    summary = {r["run_id"]: r for r in rows(run_quality_checks(loaded, list(runs.values())))}
+    for service, run in runs.items():
+        catalog = rule_catalog(f"{service}_tripdata")
+        found = rows(run_quality(loaded.quality_results(), run))
+        assert [r["check_name"] for r in found] == [r.name for r in catalog]
+        assert {r["check_name"]: r["rows_failed"] for r in found} == {
+            r.name: SEVERAL.get(r.name, 1) for r in catalog}
+        assert {r["rows_checked"] for r in found} == {len(CASES)}
+        warnings = sum(r.severity == "WARNING" for r in catalog)
+        assert summary[run]["rows_checked"] == len(CASES)
+        assert summary[run]["check_count"] == len(catalog)
+        assert (summary[run]["warnings_violated"], summary[run]["errors_violated"]) == (warnings, 0)
+        by = {r["check_name"]: r for r in found}
+        assert json.loads(by["exact_duplicate_source_rows"]["details"]) == {
+            "duplicate_excess_rows": 2, "duplicate_groups": 1}
+        assert json.loads(by["unexpected_vendor_id"]["details"]) == {"unexpected_value_count": 2}
+    assert summary[runs["yellow"]]["partition_key"] == "yellow/2019/06"
+    values = loaded.quality_values().where(F.col("run_id") == runs["green"])
+    assert {(r["check_name"], r["int_value"], r["text_value"], r["count"]) for r in rows(values)} == {
+        ("unexpected_vendor_id", 3, None, 1), ("unexpected_vendor_id", 4, None, 1),
+        ("unexpected_rate_code", 7, None, 2), ("unexpected_store_and_fwd_flag", None, "?", 2),
+        ("unexpected_payment_type", 42, None, 2), ("unexpected_trip_type", 0, None, 2)}
+
+    first = rows(run_quality(loaded.quality_results(), runs["yellow"]))
+    stored = loaded.quality_results().count()
+    run_partition_quality(loaded, "yellow", 2019, 6, datetime(2030, 1, 1, tzinfo=UTC))
+    again = rows(run_quality(loaded.quality_results(), runs["yellow"]))
     assert [r["quality_result_id"] for r in again] == [r["quality_result_id"] for r in first]
     assert all(a["executed_at"] != b["executed_at"] for a, b in zip(again, first))
-    assert loaded.quality_results().count() == 55
-    run = next(r for r in rows(current_runs(loaded.run_events())) if r["run_id"] == yellow)
-    assert (run["status"], run["warning_count"], run["error_count"]) == ("succeeded", 10, 0)
-    violated = rows(run_quality(loaded.quality_results(), yellow, "WARNING", "violated"))
-    assert len(violated) == 10
+    assert loaded.quality_results().count() == stored == 55
+    run = next(r for r in rows(current_runs(loaded.run_events())) if r["run_id"] == runs["yellow"])
+    assert (run["status"], run["error_count"]) == ("succeeded", 0)
+    assert run["warning_count"] == len(rows(
+        run_quality(loaded.quality_results(), runs["yellow"], "WARNING", "violated")))
+
+
+def test_a_rule_without_a_measure_is_an_error(spark):
+    rules = [domain("code_domain", "code", [1])]
+    df = literal_table(spark, [(1, 5)], "k int, code int")
+    targets = literal_table(spark, [(9, 1)], "run_id bigint, k int")
+    at_noon = datetime(2025, 1, 1, tzinfo=UTC)
+    measures = quality.measure(df, rules, ["k"])
+    more = [*rules, domain("other_domain", "code", [5])]
+    with pytest.raises(Exception, match="in the catalog, but not measured: other_domain"):
+        rows(quality.quality_results(measures, more, targets, "k", at_noon))
+    with pytest.raises(Exception, match="measured, but in no catalog: code_domain"):
+        rows(quality.quality_results(measures, more[1:], targets, "k", at_noon))
+    with pytest.raises(ValueError, match="room for"):
+        quality.quality_results(measures, rules * 1000, targets, "k", at_noon)
 
 
 def test_targets_are_validated(spark, loaded):
@@ -112,8 +137,8 @@ def test_targets_are_validated(spark, loaded):
                  if r["dataset_name"] == "taxi_zone_lookup")
     with pytest.raises(StateError, match="not a supported loaded trip"):
         run_quality_checks(loaded, [zones])
-    with pytest.raises(StateError, match="No successful loaded run for green/2025/02"):
-        run_partition_quality(loaded, "green", 2025, 2)
+    with pytest.raises(StateError, match="No successful loaded run for green/2019/07"):
+        run_partition_quality(loaded, "green", 2019, 7)
 
 
 def test_quality_needs_zones(spark, warehouse, landing):
@@ -136,16 +161,17 @@ def test_files_without_rows_pass_with_zero_rate(spark):
     assert {(r["status"], r["rows_checked"], r["failure_rate"]) for r in found} == {("passed", 0, 0.0)}
 
 
-def test_many_unexpected_values_stay_whole(spark):
-    df = spark.range(50).select(F.lit(1).alias("k"), (F.col("id") + 100).alias("code"))
+def test_many_unexpected_values_stay_whole(spark, warehouse):
+    df = spark.range(12_000).select(F.lit(1).alias("k"), (F.col("id") + 100).alias("code"))
     rules = [domain("code_domain", "code", [1, 2])]
-    few = rows(quality.domain_checks(df, rules, ["k"], inline=100))[0]
-    assert few["rows_failed"] == 50
-    assert [v["value"] for v in json.loads(few["details"])["unexpected_values"]] == list(range(100, 150))
-    many = rows(quality.domain_checks(df, rules, ["k"], inline=10))[0]
-    assert many["rows_failed"] == 50
-    assert json.loads(many["details"]) == {"unexpected_value_count": 50}
-    assert quality.domain_counts(df, rules, ["k"]).count() == 50
+    counts = quality.domain_counts(df, rules, ["k"])
+    total = rows(quality.domain_totals(counts, ["k"]))[0]
+    assert total["rows_failed"] == 12_000
+    assert json.loads(total["details"]) == {"unexpected_value_count": 12_000}
+    targets = literal_table(spark, [(4, 1)], "run_id bigint, k int")
+    write_partitions(quality.quality_values(counts, targets, "k"), warehouse.path("ops/quality_values"), "run_id")
+    stored = warehouse.quality_values()
+    assert stored.where("count = 1 AND run_id = 4").select("int_value").distinct().count() == 12_000
 
 
 def test_duplicates_match_nulls_nan_and_signed_zero(spark):
