@@ -1,8 +1,8 @@
 """The operators applied to the generic order tables, each with the SQL it must equal."""
 
-from fareledger.catalog import files, model, profiles, quality, raw_rules, registry
+from fareledger.catalog import files, model, profiles, quality, raw_rules, registry, staging
 
-MODULES = (model, quality, raw_rules, profiles, registry, files)
+MODULES = (model, quality, raw_rules, staging, profiles, registry, files)
 
 
 def queries() -> dict:
