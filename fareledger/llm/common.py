@@ -43,6 +43,15 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def once(value: Column) -> Column:
+    """``value``, worked out where it stands.
+
+    The partition id counts as non-deterministic, so Catalyst neither pushes a filter below this
+    column nor writes its expression into every place of a lambda that uses it.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """A key of a row for joining facts about its own text back to it.
 

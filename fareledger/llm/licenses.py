@@ -16,7 +16,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareledger.llm.common import text_of
+from fareledger.llm.common import once, text_of
 from fareledger.llm.line_dedup import LOWER, UPPER
 
 # Sentences of well-known licences and notices.
@@ -90,7 +90,7 @@ def licence_scan(docs: DataFrame, sentences: dict[str, str] | None = None,
     sentences, rules = sentences or SENTENCES, rules or RULES
     known = F.create_map(*[F.lit(x) for name, s in sentences.items() for x in (plain(s), name)])
     found = F.transform(sentences_of(text_of()), lambda s: F.element_at(known, normalised(s)))
-    rows = docs.select("doc_id", F.filter(found, lambda x: x.isNotNull()).alias("ids"))
+    rows = docs.select("doc_id", once(F.filter(found, lambda x: x.isNotNull())).alias("ids"))
     # The sequence as text with each identifier between bars, so a rule is one pattern.
     rows = rows.withColumn("sequence", F.array_join(F.transform("ids", lambda x: F.concat(F.lit("|"), x, F.lit("|"))), ""))
     met = [(licence, "+".join(ids), ".*".join(rf"\|{re.escape(i)}\|" for i in ids)) for licence, ids in rules]

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareledger.llm.common import row_key, stored, text_of
+from fareledger.llm.common import once, row_key, stored, text_of
 
 BLANK = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -137,7 +137,7 @@ def cut_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches:
         "transform(sequence(0, size(gone)), i -> slice(lines, if(i = 0, 1, gone[i - 1] + 2),"
         " if(i = size(gone), size(lines), gone[i]) - if(i = 0, 0, gone[i - 1] + 1)))")
     return (docs.select(row_key().alias("row"), text_of().alias("text"), F.struct("*").alias("doc"))
-            .join(dropped, "row", "left").withColumn("lines", lines_of(F.col("text")))
+            .join(dropped, "row", "left").withColumn("lines", once(lines_of(F.col("text"))))
             .select("doc", F.size("lines").cast("long").alias("n_lines"),
                     F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
                     F.when(F.col("gone").isNull(), F.col("text"))

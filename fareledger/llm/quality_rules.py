@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareledger.llm.common import text_of
+from fareledger.llm.common import once, text_of
 from fareledger.llm.line_dedup import BLANK, lines_of
 
 BUCKETS = 1 << 14
@@ -120,6 +120,7 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESH
               .withColumn("_grams", hashed_grams("_hashes", buckets))
               .withColumn("score", F.when(F.size("_grams") == 0, F.lit(0.0)).otherwise(
                   F.aggregate("_grams", F.lit(0.0), lambda s, g: s + ratio[g.cast("int")]) / F.size("_grams"))))
-    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         "base_failed", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"),
-                         "score")
+    scored = scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    return scored.select(*[once(F.col(c)).alias(c) for c in (
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", "score")])
