@@ -55,11 +55,11 @@ def test_held_out_roles_are_recovered(spark):
 
 
 def test_canonical_turns(spark):
-    turns = spark.createDataFrame([(1, 0, "User: Hi there\n\nmore\n"), (1, 1, "Assistant: Yes.\n"), (1, 2, "> Q: And now?\n")],
+    turns = spark.createDataFrame([(1, 0, "User: Hi there\nmore\n"), (1, 1, "Assistant: Yes.\n"), (1, 2, "> Q: And now?\n")],
                                   "conv_id long, turn long, text string")
     out = chat.format_chats(turns, turns_of(spark)).orderBy("turn_no").collect()
     assert [r.role for r in out] == ["user", "assistant", "user"]
-    assert out[0].rendered == "<|user|>\nHi there\n\nmore\n<|end|>\n"
+    assert out[0].rendered == "<|user|>\nHi there\nmore\n<|end|>\n"
     assert out[1].rendered == "<|assistant|>\nYes.\n<|end|>\n"
 
 
