@@ -29,7 +29,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +46,8 @@ BLOCK, LANES = 1024, 16
 PERCENTILE = 0.95
 END = 0
 FILE_DOCS = 5000        # documents of a file, about
-CACHE_PIECES = 1_000_000  # pieces whose ids a worker keeps at once
-SLICE_BYTES = 2 << 20
+CACHE_PIECES = 1_200_000  # pieces whose ids a worker keeps at once
+SLICE_BYTES = 3 << 20
 READ_BLOCKS = 512
 _HEAD = struct.Struct("<IBBH")
 _FOOT = struct.Struct("<QQQQ8s")
@@ -134,10 +134,17 @@ class Encoder:
 
     def _clear(self) -> None:
         self.known: dict[int, int] = {}
-        self.first = [np.zeros(1, np.int64)]
-        self.flat: list[np.ndarray] = []
+        self.first = np.zeros(1, np.int64)   # where the ids of each known piece begin
+        self.flat = np.zeros(0, np.uint32)   # ids of all known pieces
         self.total = 0
 
+    def _room(self, ids: int, pieces: int) -> None:
+        """Let the tables grow by doubling."""
+        if self.total + ids > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(self.total + 2 * ids, np.uint32)])
+        if len(self.known) + pieces + 1 > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros(len(self.known) + 2 * pieces, np.int64)])
+
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, an end id behind each, and the number of ids of each text."""
         data, at = W.buffers(texts)
@@ -154,19 +161,22 @@ class Encoder:
         distinct, where, place = np.unique(prints, return_index=True, return_inverse=True)
         if len(self.known) + len(distinct) > CACHE_PIECES:
             self._clear()
-        fresh = [k for k, p in enumerate(distinct.tolist()) if p not in self.known]
-        if fresh:
-            raw = data.tobytes()
-            pieces = [raw[start[i]:stop[i]].decode() for i in where[fresh]]
+        number = np.fromiter(map(self.known.get, distinct.tolist(), repeat(-1)), np.int64, len(distinct))
+        fresh = np.flatnonzero(number < 0)
+        if len(fresh):
+            raw, at_fresh = data.tobytes(), where[fresh]
+            pieces = [raw[a:b].decode() for a, b in zip(start[at_fresh].tolist(), stop[at_fresh].tolist())]
             encoded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
             sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
-            self.flat.append(np.fromiter(chain.from_iterable(encoded), np.uint32, int(sizes.sum())))
-            self.first.append(self.total + np.cumsum(sizes))
-            self.total += int(sizes.sum())
+            self._room(int(sizes.sum()), len(fresh))
             base = len(self.known)
+            self.flat[self.total:self.total + int(sizes.sum())] = np.fromiter(
+                chain.from_iterable(encoded), np.uint32, int(sizes.sum()))
+            self.first[base + 1:base + 1 + len(fresh)] = self.total + np.cumsum(sizes)
+            self.total += int(sizes.sum())
+            number[fresh] = np.arange(base, base + len(fresh))
             self.known.update(zip(distinct[fresh].tolist(), range(base, base + len(fresh))))
-        flat, first = np.concatenate(self.flat or [np.zeros(0, np.uint32)]), np.concatenate(self.first)
-        number = np.fromiter(map(self.known.__getitem__, distinct.tolist()), np.int64, len(distinct))[place]
+        flat, first, number = self.flat, self.first, number[place]
         sizes = first[number + 1] - first[number]
         piece_of_text = np.searchsorted(start, at)
         before = np.concatenate([[0], np.cumsum(sizes)])
@@ -177,7 +187,6 @@ class Encoder:
         inside[ends] = False
         within = np.arange(int(sizes.sum())) - np.repeat(before[:-1], sizes)
         out[inside] = flat[np.repeat(first[number], sizes) + within]
-        self.flat, self.first = [flat], [first]
         return out, counts
 
 
