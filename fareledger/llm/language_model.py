@@ -84,7 +84,8 @@ def code_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() * (1 << 32) + seq
         return pa.RecordBatch.from_pylist([{
             "chunk": number, "doc_id": ids, "held": held, "lengths": np.concatenate(lengths),
-            "vocab": squeeze_sorted(vocab) + squeeze(rank) + len(vocab).to_bytes(8, "little"),
+            "vocab": (words := squeeze_sorted(vocab)) + squeeze(rank)
+                     + len(words).to_bytes(8, "little") + len(vocab).to_bytes(8, "little"),
             "codes": squeeze(rank[code])}], schema=_chunk_schema())
     for batch in batches:
         for part in slices(batch):
@@ -121,10 +122,9 @@ class Chunk:
         self.held = np.array(row["held"], bool)
         self.doc_id = row["doc_id"]
         n = int.from_bytes(row["vocab"][-8:], "little")
-        # Both parts are frames of their own; the first one's length is found by its magic number.
-        cut = row["vocab"].rfind(b"\x28\xb5\x2f\xfd") - 1
+        cut = int.from_bytes(row["vocab"][-16:-8], "little")
         self.vocab = unsqueeze_sorted(row["vocab"][:cut], n)
-        self.rank = unsqueeze(row["vocab"][cut:-8], n).astype(np.int64)
+        self.rank = unsqueeze(row["vocab"][cut:-16], n).astype(np.int64)
         self.tokens = unsqueeze(row["codes"], int(self.lengths.sum())).astype(np.int64)
         self.first = np.cumsum(self.lengths) - self.lengths
         self.trained = np.repeat(~self.held, self.lengths)

@@ -1,12 +1,15 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fareledger.llm import language_model as lm
+from fareledger.llm import words as W
 from fareledger.llm.common import table
 from tests.llm.cases import awkward
 
@@ -79,3 +82,17 @@ def test_packed_integers():
         ordered = np.sort(values)
         assert (lm.unsqueeze_sorted(lm.squeeze_sorted(ordered), 1000) == ordered).all()
     assert len(lm.unsqueeze(lm.squeeze(values[:0]), 0)) == 0
+
+
+def test_ranks_that_hold_the_magic_number_of_a_frame(spark):
+    """255 words whose ranks, in the order of their fingerprints, go on with 40, 181, 47, 253."""
+    words = [f"w{i}" for i in range(255)]
+    prints = W.split(pa.array([" ".join(words)])).prints
+    by_print = [words[i] for i in np.argsort(prints)]
+    rest = [r for r in range(255) if r not in (40, 181, 47, 253)]
+    random.Random(6).shuffle(rest)
+    at = 30
+    ranks = [*rest[:at], 40, 181, 47, 253, *rest[at:]]
+    text = " ".join(w for w, rank in zip(by_print, ranks) for _ in range(256 - rank))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert got(lm.scores(docs)) == brute([(1, text)], 2, lm.PRIOR)
