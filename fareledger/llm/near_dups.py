@@ -194,10 +194,11 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     texts = rows.select("row", "text").join(groups.hint("merge"), "row")
     sets = texts.mapInArrow(run_sets, "comp long, blocks int, node long, copies long, runs binary")
     own = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
+    # Small groups share tasks; a unit of a group of several blocks is a task, so it holds two blocks at most.
+    task = F.when(F.col("blocks") > 1, F.col("unit")).otherwise(F.pmod("unit", F.lit(tasks)))
     dealt = (sets.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
              .withColumn("unit", F.xxhash64("comp", F.least("own", "other"), F.greatest("own", "other")))
-             .select(F.pmod("unit", F.lit(tasks)).alias("task"), "unit", F.col("own").cast("int").alias("side"),
-                     "node", "copies", "runs"))
+             .select(task.alias("task"), "unit", F.col("own").cast("int").alias("side"), "node", "copies", "runs"))
     found = stored(dealt.groupBy("task").applyInArrow(verifier(threshold), "node long, root long, links long"))
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

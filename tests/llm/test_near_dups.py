@@ -1,5 +1,8 @@
 import random
 import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 
 from fareledger.llm.common import table
 from fareledger.llm.components import components
@@ -63,6 +66,30 @@ def test_large_groups_are_dealt_in_blocks(spark, monkeypatch):
     assert got(jaccard_classes(frame(spark, rows))) == brute(rows)
 
 
+def test_a_task_holds_a_bounded_number_of_sets(spark, monkeypatch):
+    from fareledger.llm import near_dups
+    monkeypatch.setattr(near_dups, "BLOCK", 8)
+    plain = near_dups.verifier
+
+    def bounded(threshold):
+        verify = plain(threshold)
+
+        def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = list(batches)
+            assert sum(b.num_rows for b in held) <= 60
+            return verify(iter(held))
+        return check
+    monkeypatch.setattr(near_dups, "verifier", bounded)
+    rng = random.Random(3)
+    rows = []
+    for i in range(160):
+        words = [f"w{k}" for k in range(120)]
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(120)] = f"x{rng.randrange(999)}"
+        rows.append((i, " ".join(words)))
+    assert got(jaccard_classes(frame(spark, rows))) == brute(rows)
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
