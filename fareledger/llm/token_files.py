@@ -16,7 +16,8 @@ write through the file system that the shared folder's URI names, each attempt u
 own; the stored list of files says which attempt counts. Retried or doubled attempts leave a file
 that nobody lists.
 
-Defined results: null and empty texts are the end id alone; rows that repeat an id follow each
+Defined results: null and empty texts are the end id alone; a special token that is written out in a
+text is that token's id, as the tokenizer has it by itself; rows that repeat an id follow each
 other in the order of a hash of their text; rows without an id come first; an empty table gives no
 rows; other columns are ignored.
 """
@@ -122,14 +123,16 @@ class Encoder:
 
     A piece begins at a space between two other bytes that are not blanks. The tokenizer splits
     there in any case and merges nothing across, so pieces have the ids they have in their text.
+    Special tokens hold no space, so each lies whole in one piece. Written files take them as the
+    tokenizer does by itself (``markers``); without it they are encoded like any other text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, markers: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not markers
         self._clear()
 
     def _clear(self) -> None:
@@ -193,7 +196,7 @@ class Encoder:
 @lru_cache(1)
 def encoder_of(path: str) -> Encoder:
     """The worker's encoder; what it knows serves the worker's later tasks too."""
-    return Encoder(path)
+    return Encoder(path, markers=True)
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:

@@ -79,3 +79,20 @@ def test_awkward_rows(spark, plain):
     expect = sorted((str(i), n, crc) for i, _, n, crc in brute([(r.doc_id, r.text) for r in docs.collect()], plain))
     assert sorted((str(i), n, crc) for i, _, n, crc in found) == expect
     assert tf.read_token_files(tf.write_token_files(docs.limit(0), PATH)).count() == 0
+
+
+def test_written_out_special_tokens_are_the_untouched_tokenizers(spark):
+    tokenizer = Tokenizer.from_file(PATH)
+
+    def untouched(text):
+        return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    rng = random.Random(8)
+    letters = ["<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", *"ab  \n\t.'s\u00e9", " 1a"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(30))) for _ in range(600)]
+    texts += ["<|endoftext|>", "one <|endoftext|> two", "one<|endoftext|>two", None]
+    assert untouched("one<|endoftext|>")[-2] == 50256
+    ids, counts = tf.encoder_of(PATH).ids(pa.array(texts))
+    expect = [untouched(t) for t in texts]
+    assert counts.tolist() == list(map(len, expect)) and ids.tolist() == sum(expect, [])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert got(tf.read_token_files(tf.write_token_files(docs, PATH))) == brute(list(enumerate(texts)), untouched)
