@@ -19,6 +19,44 @@ from pyspark.sql import functions as F
 from fareledger.llm.common import once, text_of
 from fareledger.llm.line_dedup import LOWER, UPPER
 
+_MIT_GRANT = ('Permission is hereby granted, free of charge, to any person obtaining a copy of this software and '
+              'associated documentation files (the "Software"), to deal in the Software without restriction, including '
+              "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+              "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+              "following conditions:")
+_ENDORSE = ("Neither the name of the {} nor the names of its contributors may be used to endorse or promote products "
+            "derived from this software without specific prior written permission")
+_GNU = [("gpl", "General", {"2": "Version 2, June 1991", "3": "Version 3, 29 June 2007"}),
+        ("lgpl", "Lesser General", {"2.1": "Version 2.1, February 1999", "3": "Version 3, 29 June 2007"}),
+        ("agpl", "Affero General", {"3": "Version 3, 19 November 2007"})]
+_GNU_TERMS = ("you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the "
+              "Free Software Foundation")
+_LATER = "either version {} of the License, or (at your option) any later version"
+_WORKS = ("program", "library", "software")
+#: SPDX tags and the licence they name.
+_SPDX = {
+    "GPL-2.0-only": "GPL-2.0", "GPL-2.0-or-later": "GPL-2.0", "GPL-3.0-or-later": "GPL-3.0",
+    "LGPL-2.1-only": "LGPL-2.1", "LGPL-2.1-or-later": "LGPL-2.1", "LGPL-3.0-only": "LGPL-3.0",
+    "LGPL-3.0-or-later": "LGPL-3.0", "AGPL-3.0-only": "AGPL-3.0", "AGPL-3.0-or-later": "AGPL-3.0",
+    **{x: x for x in ("BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0",
+                      "ISC", "MPL-2.0", "Unlicense")},
+}
+
+
+def _gnu_rules() -> list[tuple[str, list[str]]]:
+    """A version is named in the sentence of the terms, in the next one, or by the date of the text."""
+    rules = []
+    for kind, _, versions in _GNU:
+        for version in versions:
+            licence = f"{kind.upper()}-{version if '.' in version else version + '.0'}"
+            date = "gpl3-text" if (kind, version) == ("lgpl", "3") else f"{kind}{version}-text"
+            rules += [(licence, [f"{kind}{version}-{how}"]) for how in ("terms", *_WORKS)]
+            rules += [(licence, [f"{kind}-{how}", f"gnu-{version}-later"])
+                      for how in ("terms", *(f"{what}-terms" for what in _WORKS))]
+            rules.append((licence, [f"{kind}-title", date]))
+    return rules
+
+
 # Sentences of well-known licences and notices.
 SENTENCES = {
     "mit-released": "Released under the MIT License",
@@ -44,6 +82,58 @@ SENTENCES = {
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
                   "and the following disclaimer in the documentation and/or other materials provided with the "
                   "distribution",
+    "reserved": "All rights reserved",
+    # Standard headers and texts, cut where their own punctuation cuts them; some end as lines.
+    "mit-begin": "Permission is hereby granted, free of charge, to any person obtaining a copy",
+    "mit-portions": "copies or substantial portions of the Software",
+    "mit-grant": _MIT_GRANT,
+    "mit-text": f"{_MIT_GRANT} The above copyright notice and this permission notice shall be included in all "
+                "copies or substantial portions of the Software",
+    "mit-as-is": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT '
+                 "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT",
+    "apache-header": 'Licensed under the Apache License, Version 2.0 (the "License")',
+    "apache-use": "you may not use this file except in compliance with the License",
+    **{f"apache-header-copy-{web}": f"You may obtain a copy of the License at {web}://www.apache.org/licenses/"
+       "LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License "
+       'is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied'
+       for web in ("http", "https")},
+    "apache-copy-https": "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0",
+    "apache-title": "Apache License",
+    "apache-version": "Version 2.0, January 2004",
+    "bsd-endorse": _ENDORSE.format("copyright holder"),
+    "bsd-endorse-university": _ENDORSE.format("University"),
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+                 "is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+                 "copies",
+    "isc-notice": "copyright notice and this permission notice appear in all copies",
+    "isc-as-is": 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+                 "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS",
+    "isc-title": "ISC License",
+    "mpl-source": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
+    **{f"mpl-copy-{web}": "If a copy of the MPL was not distributed with this file, You can obtain one at "
+       f"{web}://mozilla.org/MPL/2.0/" for web in ("http", "https")},
+    "mpl-title": "Mozilla Public License Version 2.0",
+    "cc0-dedicated": "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+                     "neighboring rights to this software to the public domain worldwide",
+    "cc0-copy": "You should have received a copy of the CC0 Public Domain Dedication along with this software",
+    "cc0-title": "CC0 1.0 Universal",
+    "by-sa-licensed": "Licensed under CC BY-SA 4.0",
+    "by-sa-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "unlicense-free": "This is free and unencumbered software released into the public domain",
+    "boost-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "boost-distributed": "Distributed under the Boost Software License, Version 1.0",
+    **{f"{kind}-title": f"GNU {title} Public License" for kind, title, _ in _GNU},
+    **{f"{kind}-terms": _GNU_TERMS.format(title) for kind, title, _ in _GNU},
+    **{f"{kind}-{what}-terms": f"This {what} is free software: {_GNU_TERMS.format(title)}"
+       for kind, title, _ in _GNU for what in _WORKS},
+    **{f"gnu-{version}-later": _LATER.format(version) for version in ("2", "2.1", "3")},
+    **{f"{kind}{version}-terms": f"{_GNU_TERMS.format(title)}, {_LATER.format(version)}"
+       for kind, title, versions in _GNU for version in versions},
+    **{f"{kind}{version}-{what}": f"This {what} is free software: {_GNU_TERMS.format(title)}, {_LATER.format(version)}"
+       for kind, title, versions in _GNU for version in versions for what in _WORKS},
+    **{f"{kind}{version}-text": date for kind, _, versions in _GNU for version, date in versions.items()
+       if (kind, version) != ("lgpl", "3")},  # dated as version 3 of the GPL is
+    **{f"spdx-{name.lower()}": f"SPDX-License-Identifier: {name}" for name in _SPDX},
 }
 #: Ordered rules: licence, and identifiers that stand in this order with anything between them.
 RULES = [
@@ -64,6 +154,35 @@ RULES = [
     ("MIT", ["mit-released"]),
     ("MIT", ["mit-licensed"]),
     ("MIT", ["mit-spdx"]),
+    ("MIT", ["mit-text"]),
+    ("MIT", ["mit-grant", "mit-condition"]),
+    ("MIT", ["mit-begin", "mit-portions"]),
+    ("MIT", ["mit-title", "mit-as-is"]),
+    ("Apache-2.0", ["apache-header"]),
+    ("Apache-2.0", ["apache-header", "apache-use"]),
+    ("Apache-2.0", ["apache-header-copy-http"]),
+    ("Apache-2.0", ["apache-header-copy-https"]),
+    ("Apache-2.0", ["apache-licensed", "apache-copy-https"]),
+    ("Apache-2.0", ["apache-title", "apache-version"]),
+    ("BSD-3-Clause", ["bsd-retain", "bsd-binary", "bsd-endorse"]),
+    ("BSD-3-Clause", ["bsd-retain", "bsd-binary", "bsd-endorse-university"]),
+    ("ISC", ["isc-grant"]),
+    ("ISC", ["isc-notice", "isc-as-is"]),
+    ("ISC", ["isc-title"]),
+    ("MPL-2.0", ["mpl-source", "mpl-copy-http"]),
+    ("MPL-2.0", ["mpl-source", "mpl-copy-https"]),
+    ("MPL-2.0", ["mpl-title"]),
+    ("CC0-1.0", ["cc0-dedicated"]),
+    ("CC0-1.0", ["cc0-copy"]),
+    ("CC0-1.0", ["cc0-title"]),
+    ("CC-BY-SA-4.0", ["by-sa-licensed"]),
+    ("CC-BY-SA-4.0", ["by-sa-work"]),
+    ("Unlicense", ["unlicense-free"]),
+    ("BSL-1.0", ["boost-title"]),
+    ("BSL-1.0", ["boost-distributed"]),
+    *_gnu_rules(),
+    *[(licence, [f"spdx-{name.lower()}"]) for name, licence in _SPDX.items()],
+    ("All-rights-reserved", ["reserved"]),
 ]
 ENDS = r"[.!?;]+([ \t\n\x0B\f\r]|\z)"
 OTHER = "[^a-z0-9]+"
