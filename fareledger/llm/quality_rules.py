@@ -16,12 +16,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareledger.llm.common import once, text_of
+from fareledger.llm.common import once, stored, text_of
 from fareledger.llm.line_dedup import BLANK, lines_of
 
 BUCKETS = 1 << 14
-#: Trusted documents that the target multinomial is learnt from, at most; drawn by a hash of ids.
-TRUSTED = 10_000
 #: Mean log ratio below which a document is unlike the trusted ones.
 THRESHOLD = -0.05
 MIN_WORDS, MAX_REPEAT, WINDOW = 20, 30, 8
@@ -48,16 +46,15 @@ def word_hashes(docs: DataFrame) -> DataFrame:
         "_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
 
 
-def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, sample: int = TRUSTED) -> list[float]:
+def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """Log ratio of each bucket; ``trusted`` holds the doc_id of every trusted document.
 
-    All n-grams of all documents are counted for the raw multinomial, where they lie; only one
-    row a bucket and task is shuffled. The target multinomial is learnt from at most ``sample``
-    trusted documents: their ids are a table of bounded size, so no text moves to meet them.
+    All n-grams of all documents are counted, and of all trusted ones beside them; only one row a
+    bucket and task is shuffled. The trusted ids are a stored table, so Catalyst sees its size: it
+    goes to the documents below the broadcast threshold, and beyond it word hashes, not texts, move.
     """
-    ids = (trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toArrow())
-    ids = docs.sparkSession.createDataFrame(ids).withColumn("_trusted", F.lit(1))
+    ids = stored(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct())
+    ids = ids.withColumn("_trusted", F.lit(1))
     grams = (word_hashes(docs.select("doc_id", "text")).select("doc_id", "_hashes")
              .join(ids, "doc_id", "left")
              .select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"),

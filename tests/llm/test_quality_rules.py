@@ -79,3 +79,8 @@ def test_main_path_is_native(spark):
     docs, labels = (table(spark, SF_DIR, t) for t in ("documents", "labels"))
     plan = quality_rules.quality_rules(docs, labels)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_every_trusted_document_counts(spark):
+    docs = spark.range(10_400).selectExpr("id as doc_id", "concat_ws(' ', 'w' || id % 7, 'only' || id) as text")
+    check(docs, docs.where("doc_id % 50 > 0 or doc_id < 10300").select("doc_id"))
