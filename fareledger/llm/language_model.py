@@ -1,16 +1,15 @@
-"""Language-model scores by a weighted backoff automaton of smoothed n-grams.
+"""Language-model scores by interpolated n-grams, bigrams by default.
 
-States are n-gram contexts; a seen n-gram is an arc with its smoothed probability, and a state's
-failure arc leads to its shorter context with the weight K / (c(context) + K). Interpolating with
-a Dirichlet prior makes both exact: p(w | v) = (c(v w) + K p(w | v')) / (c(v) + K), down to the
-add-one unigram; an unseen context fails at no cost. One pass over a text from left to right
-carries the state and adds up log10 probabilities.
+The scores are those of a backoff automaton whose failure arcs weigh K / (c(context) + K), but none is
+built: counts are looked up and orders interpolated array by array with a Dirichlet prior,
+p(w | v) = (c(v w) + K p(w | v')) / (c(v) + K), down to the add-one unigram; an unseen context costs
+nothing. log10 probabilities are added up by text.
 
-The automaton covers all n-grams of all training documents and is far larger than a task, so it is
+The model covers all n-grams of all training documents and is far larger than a task, so it is
 never whole in one place. Texts are coded once in chunks of bounded size. A chunk asks for the
 n-grams it holds, as sorted fingerprints with its own training counts; shards of the fingerprint
-space add the counts up and answer in the same order; then each chunk walks its texts over its own
-part of the automaton. The number of chunks and of shards grows with the corpus, and an n-gram is
+space add the counts up and answer in the same order; then each chunk scores its texts with its own
+part of the counts. The number of chunks and of shards grows with the corpus, and an n-gram is
 sent once for each chunk however frequent it is.
 
 Defined results: null and empty texts are one end token; rows are scored each by itself, repeated
