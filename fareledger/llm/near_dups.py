@@ -1,9 +1,9 @@
-"""N-gram Jaccard join: MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: MinHash banding, then exact verification.
 
 Texts become sets of runs of five words. Equal sets are one node. Each of ``trees`` labels of a
-node is a string of ``depth`` MinHash values; sorted labels are a trie, and nodes that share a
-label's prefix meet. Prefixes are shortened from the full depth until pairs at the threshold meet
-in some tree with the target recall. Nodes that meet anywhere are gathered in groups, and every
+node is a string of MinHash values, and nodes that share one label meet: banding. The length of the
+labels follows from the threshold and the target recall by a formula (5 of at most 8 values); no
+labels are sorted and none is shortened for the texts at hand. Nodes that meet anywhere are gathered in groups, and every
 pair in a group is verified exactly: shared runs are counted by blocks of a sparse product, so
 links are counted and classes are joined without a row for each pair. A group of more than
 ``block`` nodes is dealt to one task for each pair of its blocks.
