@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareledger.llm import chat, decontam, language_model, licenses, near_dups, packing, token_files
+from fareledger.llm import chat, decontam, hard_negatives, language_model, licenses, near_dups, packing, simhash
+from fareledger.llm import token_files, whitening
 from fareledger.llm import line_dedup as lines
 from fareledger.llm import quality_rules as quality
 from fareledger.llm import toxicity as toxic
@@ -60,6 +61,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_license_scan": op2_license_scan,
@@ -71,8 +84,12 @@ QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_near_dups": op9_near_dups,
     "op10_token_files": op10_token_files,
+    "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_simhash": op13_simhash,
 }
 ORACLE = {
     "op2_license_scan": licenses.SQL,
     "op5_line_dedup": lines.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
 }
