@@ -20,6 +20,7 @@ from fareledger.llm.common import once, stored, text_of
 from fareledger.llm.line_dedup import BLANK, lines_of
 
 BUCKETS = 1 << 14
+MARKS = 1 << 20  # bits of the table that tells documents which may be trusted
 #: Mean log ratio below which a document is unlike the trusted ones.
 THRESHOLD = -0.05
 MIN_WORDS, MAX_REPEAT, WINDOW = 20, 30, 8
@@ -46,24 +47,48 @@ def word_hashes(docs: DataFrame) -> DataFrame:
         "_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
 
 
+def marks(ids: DataFrame) -> Column:
+    """Whether ``doc_id`` may be one of ``ids``: one bit of a fixed table for each hash of an id.
+
+    The table has the same size for any number of ids; a false hit is settled by the join after it.
+    """
+    mark = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
+    words = ids.groupBy(F.shiftright(mark, 6).alias("word")).agg(F.bit_or(F.expr(
+        f"shiftleft(1L, cast(pmod(pmod(xxhash64(doc_id), {MARKS}L), 64L) as int))")).alias("bits")).collect()
+    table = [0] * (MARKS // 64)
+    for word, bits in words:
+        table[word] = bits
+    held = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+    word = F.get(held, F.shiftright(mark, 6).cast("int"))
+    return F.coalesce(F.getbit(word, F.pmod(mark, F.lit(64)).cast("int")) == 1, F.lit(False))
+
+
+def count_buckets(grams: DataFrame, buckets: int) -> list[int]:
+    """Count of each bucket plus one; at most one row a bucket and task is shuffled."""
+    out = [1] * buckets
+    for bucket, n in grams.select(F.explode("_grams").alias("bucket")).groupBy("bucket").count().collect():
+        out[bucket] += n
+    return out
+
+
 def fit_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """Log ratio of each bucket; ``trusted`` holds the doc_id of every trusted document.
 
-    All n-grams of all documents are counted, and of all trusted ones beside them; only one row a
-    bucket and task is shuffled. The trusted ids are a stored table, so Catalyst sees its size: it
-    goes to the documents below the broadcast threshold, and beyond it word hashes, not texts, move.
+    All n-grams of all documents are counted where they are read, without a join. For the target,
+    documents that may be trusted are told by a table of fixed size before their words are hashed;
+    what passes is merged with the ids, two bytes an n-gram, by the same join at every size.
     """
+    kind = "array<smallint>" if buckets <= 1 << 15 else "array<int>"
+
+    def grams(rows: DataFrame, *columns: str) -> DataFrame:
+        # Each array is worked out where it stands; a filter on its size would repeat it for each word.
+        hashed = word_hashes(rows).select(*columns, once(F.col("_hashes")).alias("_hashes"))
+        return hashed.select(*columns, once(hashed_grams("_hashes", buckets).cast(kind)).alias("_grams"))
     ids = stored(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct())
-    ids = ids.withColumn("_trusted", F.lit(1))
-    grams = (word_hashes(docs.select("doc_id", "text")).select("doc_id", "_hashes")
-             .join(ids, "doc_id", "left")
-             .select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"),
-                     F.explode(hashed_grams("_hashes", buckets)).alias("bucket")))
-    rows = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("_trusted").alias("t")).collect()
-    raw, target = [1] * buckets, [1] * buckets  # add-one smoothing
-    for bucket, n, t in rows:
-        raw[bucket] += n
-        target[bucket] += t
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    raw = count_buckets(grams(texts), buckets)
+    likely = grams(texts.where(marks(ids)), "doc_id")
+    target = count_buckets(likely.join(ids.hint("merge"), "doc_id", "left_semi"), buckets)
     shift = math.log(sum(raw)) - math.log(sum(target))
     return [math.log(t) - math.log(r) + shift for t, r in zip(target, raw)]
 

@@ -84,3 +84,13 @@ def test_main_path_is_native(spark):
 def test_every_trusted_document_counts(spark):
     docs = spark.range(10_400).selectExpr("id as doc_id", "concat_ws(' ', 'w' || id % 7, 'only' || id) as text")
     check(docs, docs.where("doc_id % 50 > 0 or doc_id < 10300").select("doc_id"))
+
+
+def test_ids_meet_documents_by_one_plan_at_every_size(spark):
+    """No broadcast of ids, and the table of marks lets every trusted document through."""
+    ids = spark.range(0, 3000, 3).selectExpr("id * 7919 - 5000 as doc_id")
+    docs = spark.range(3000).selectExpr("id * 7919 - 5000 as doc_id")
+    mark = quality_rules.marks(ids)
+    passed = docs.where(mark)
+    assert passed.join(ids, "doc_id").count() == 1000 and passed.count() < 1100
+    assert docs.where(quality_rules.marks(ids.limit(0))).count() == 0
