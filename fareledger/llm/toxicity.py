@@ -14,6 +14,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareledger.llm import words as W
-from fareledger.llm.common import slices
+from fareledger.llm.common import slices, text_of
 
 WINDOW, STRIDE = 64, 48
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 8
@@ -311,11 +312,24 @@ def held_out(doc_id: Column, folds: int, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def trainer(share: float):
+    """Learns from all rows of its one task and returns the network as bytes."""
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            drawn = pa.Table.from_batches(held).sort_by("doc_id")
+            net = train(drawn["text"].combine_chunks(), drawn["toxic"].to_numpy(), share)
+            yield pa.record_batch({"network": pa.array([pickle.dumps(net)], pa.binary())})
+    return learn
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
     """Learn from at most ``sample`` labelled documents of each class, none of them held out.
 
     Only ids and labels are compared to draw the sample, so the texts of all other documents
-    stay where they are; the share of toxic labels is counted over all of them.
+    stay where they are; the share of toxic labels is counted over all of them. Of texts that share
+    a drawn id the one with the least hash is taken. One task learns; the driver sees the network,
+    whose size does not depend on the texts.
     """
     known = (labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"), 4))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
@@ -324,12 +338,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
     drawn = [known.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toArrow()
              for kind in (0, 1)]
     ids = pa.concat_tables(drawn)
-    texts = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = (docs.select("doc_id", text_of().alias("text"))
              .join(docs.sparkSession.createDataFrame(ids), "doc_id")
-             .dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow())
-    if not len(texts):
+             .groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"),
+                                    F.max("toxic").alias("toxic")))
+    learnt = texts.repartition(1).mapInArrow(trainer(share), "network binary").collect()
+    if not learnt:  # no labelled text: a network without a sample gives the share of toxic labels
         return train(pa.array([], pa.string()), np.zeros(1), share)
-    return train(texts["text"].combine_chunks(), texts["toxic"].to_numpy(), share)
+    return pickle.loads(learnt[0]["network"])
 
 
 def scorer(net: Network):

@@ -62,3 +62,12 @@ def test_awkward_rows(spark):
     assert tox.without_toxic(docs, labels).dtypes == docs.dtypes
     assert tox.toxicity(docs.limit(0), labels).count() == 0
     assert {r.score for r in tox.toxicity(docs, labels.limit(0)).collect()} == {0.0}
+
+
+def test_repeated_ids_learn_the_same_text_in_any_order(spark):
+    rows = [(i, f"kind words number {i}") for i in range(30)] + [(i, f"vile awful words {i}") for i in range(30, 60)]
+    rows += [(3, "vile awful words again"), (40, "kind words again"), (3, None)]
+    labels = spark.createDataFrame([(i, int(i >= 30)) for i in range(60)], "doc_id long, toxic int")
+    nets = [tox.fit(spark.createDataFrame(order, "doc_id long, text string").repartition(n), labels)
+            for order, n in ((rows, 1), (rows[::-1], 5))]
+    assert all((nets[0].p[name] == nets[1].p[name]).all() for name in nets[0].p)
