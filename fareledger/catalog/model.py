@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareledger.catalog import trips as source
-from fareledger.catalog.trips import STAR_SQL, TRIPS_CTE, stored_star, table
+from fareledger.catalog.trips import STAR_SQL, TRIPS_CTE, served, table
 from fareledger.functions.ranks import median_by, nearest_rank_percentile
 from fareledger.operators import checks
-from fareledger.plans import analytics, star
+from fareledger.plans import analytics, rollup, star
 from fareledger.plans.build import fact_builder
 from fareledger.session import shared_dir
 from fareledger.sources.tables import Warehouse
@@ -88,33 +88,57 @@ BOUNDS = {"start": date(1996, 1, 1), "end": date(1996, 3, 31)}
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, dates, _, _ = stored_star(spark, sf_dir)
-    return rounded(analytics.summary(facts, dates))
+    _, dates, _, _, partials, _ = served(spark, sf_dir)
+    return rounded(rollup.summary(partials, dates))
 
 
 def summary_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, dates, _, _ = stored_star(spark, sf_dir)
-    return rounded(analytics.summary(facts, dates, service_type="line", **BOUNDS))
+    _, dates, _, _, partials, _ = served(spark, sf_dir)
+    return rounded(rollup.summary(partials, dates, service_type="line", **BOUNDS))
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, dates, _, _ = stored_star(spark, sf_dir)
-    return rounded(analytics.monthly(facts, dates))
+    _, dates, _, _, partials, _ = served(spark, sf_dir)
+    return rounded(rollup.monthly(partials, dates))
 
 
 def monthly_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, dates, _, _ = stored_star(spark, sf_dir)
-    return rounded(analytics.monthly(facts, dates, end=date(1997, 6, 30)))
+    _, dates, _, _, partials, _ = served(spark, sf_dir)
+    return rounded(rollup.monthly(partials, dates, end=date(1997, 6, 30)))
 
 
 def top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, dates, zones, _ = stored_star(spark, sf_dir)
-    return rounded(analytics.top_zones(facts, dates, zones))
+    _, dates, zones, _, partials, _ = served(spark, sf_dir)
+    return rounded(rollup.top_zones(partials, dates, zones))
 
 
 def top_zones_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, dates, zones, _ = stored_star(spark, sf_dir)
-    return rounded(analytics.top_zones(facts, dates, zones, 5, service_type="line", **BOUNDS))
+    _, dates, zones, _, partials, _ = served(spark, sf_dir)
+    return rounded(rollup.top_zones(partials, dates, zones, 5, service_type="line", **BOUNDS))
+
+
+def summary_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filtered summary from facts, opening only files whose range meets the dates."""
+    facts, dates, _, _, _, ranges = served(spark, sf_dir)
+    return rounded(analytics.summary(facts, dates, service_type="line", ranges=ranges, **BOUNDS))
+
+
+def rollup_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    partials = served(spark, sf_dir)[4]
+    return partials.select(*[
+        F.round(f.name, 2).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+        for f in partials.schema.fields])
+
+
+def file_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return served(spark, sf_dir)[5]
+
+
+def t_unique_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ship months that hold several lines of one order, with the order as row number."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        source.year_month("l_shipdate").alias("source_file_id"), F.col("l_orderkey").alias("source_row_number"))
+    return checks.unique_lineage(lines)
 
 
 def monthly_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,13 +253,14 @@ QUERIES = {
     "fact_star": fact_star, "fact_incremental": fact_incremental, "loaded_only": loaded_only,
     "summary": summary, "summary_filtered": summary_filtered, "monthly": monthly,
     "monthly_filtered": monthly_filtered, "top_zones": top_zones,
-    "top_zones_filtered": top_zones_filtered, "monthly_pivot": monthly_pivot,
+    "top_zones_filtered": top_zones_filtered, "summary_facts": summary_facts,
+    "rollup_partials": rollup_partials, "file_ranges": file_ranges, "monthly_pivot": monthly_pivot,
     "monthly_pivot_mean": monthly_pivot_mean, "service_share": service_share,
     "zone_labels": zone_labels, "lineage_counts": lineage_counts, "nearest_rank": nearest_rank,
     "median_by": median, "t_not_null": t_not_null,
     "t_not_null_many": t_not_null_many, "t_relationships_many": t_relationships_many,
     "t_unique": t_unique,
-    "t_unique_key": t_unique_key, "t_relationships": t_relationships, "t_accepted": t_accepted,
+    "t_unique_key": t_unique_key, "t_unique_lineage": t_unique_lineage, "t_relationships": t_relationships, "t_accepted": t_accepted,
     "t_grain": t_grain, "t_grain_left": t_grain_left, "t_count_equal": t_count_equal,
     "t_exactly_one": t_exactly_one, "t_unknown": t_unknown,
 }
@@ -283,6 +308,15 @@ ORACLE = {
       WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
     "summary": f"{STAR_SQL} SELECT {MEASURES_SQL} {FACTS}",
     "summary_filtered": f"{STAR_SQL} SELECT {MEASURES_SQL} {FACTS} WHERE f.service_type = 'line' AND {Q1_1996}",
+    "summary_facts": f"{STAR_SQL} SELECT {MEASURES_SQL} {FACTS} WHERE f.service_type = 'line' AND {Q1_1996}",
+    "rollup_partials": f"""{STAR_SQL} SELECT source_file_id, pickup_date_key, service_type, pickup_zone_key,
+      count(*) AS trip_count, """ + ", ".join(
+        f"round(sum({c}), 2) AS sum_{c}, count({c}) AS count_{c}" for c in rollup.SUMMED)
+      + " FROM facts GROUP BY 1, 2, 3, 4",
+    "file_ranges": f"""{STAR_SQL} SELECT source_file_id,
+      min(pickup_date_key) FILTER (pickup_date_key > 0) AS min_date_key,
+      max(pickup_date_key) FILTER (pickup_date_key > 0) AS max_date_key,
+      count(*) AS row_count, count(*) FILTER (pickup_date_key = 0) AS unknown_count FROM facts GROUP BY 1""",
     "monthly": _monthly_sql(),
     "monthly_filtered": _monthly_sql("WHERE d.full_date <= DATE '1997-06-30'"),
     "top_zones": _zones_sql(),
@@ -312,6 +346,9 @@ ORACLE = {
     ),
     "t_unique": "SELECT text, count(*) AS row_count FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
     "t_unique_key": "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
+    "t_unique_lineage": """SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS BIGINT) AS source_file_id,
+      count(*) AS row_count, count(DISTINCT l_orderkey) AS lineage_count FROM lineitem
+      GROUP BY 1 HAVING count(*) <> count(DISTINCT l_orderkey)""",
     "t_relationships": """SELECT o_custkey, count(*) AS row_count FROM orders
       WHERE o_custkey IS NOT NULL AND o_custkey NOT IN
         (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY 1""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareledger.plans import star
+from fareledger.plans import rollup, star
 from fareledger.plans.build import fact_builder
 from fareledger.session import materialize, shared_dir, spread
 from fareledger.sources.readers import align_columns
@@ -123,12 +123,27 @@ def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     )
 
 
-_STORED: dict[tuple[str, str], tuple] = {}
+_STORED: dict[tuple, tuple] = {}
+INPUTS = ("nation", "region", "customer", "supplier", "orders", "lineitem")
 
 
-def stored_star(spark: SparkSession, sf_dir: str):
-    """Facts, dates and zones as stored tables, built once per session and data folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def identity(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, lengths and times of change of the input files: other data is another star."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    seen = []
+    for name in INPUTS:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        for file in path.getFileSystem(conf).listStatus(path):
+            seen.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(seen))
+
+
+def served(spark: SparkSession, sf_dir: str) -> tuple:
+    """The warehouse's stored tables: facts, dates, zones, vendors, rollup and file ranges.
+
+    Served queries read what a build has stored; a session builds once for each state of the files.
+    """
+    key = (spark.sparkContext.applicationId, identity(spark, sf_dir))
     if key not in _STORED:
         dates, zone_dim, vendor_dim = dimensions(spark, sf_dir)
         name = f"star-{spark.sparkContext.applicationId}-{len(_STORED)}"
@@ -137,10 +152,15 @@ def stored_star(spark: SparkSession, sf_dir: str):
             star.enrich(trips(spark, sf_dir)), warehouse,
             fact_builder(dates, zone_dim, vendor_dim), full_refresh=True, rebalance=True,
         )
-        _STORED[key] = (facts, dates, zone_dim, vendor_dim)
+        _STORED[key] = (facts, dates, zone_dim, vendor_dim, *rollup.refresh(warehouse, True))
     return _STORED[key]
 
 
+def stored_star(spark: SparkSession, sf_dir: str) -> tuple:
+    """Facts, dates, zones and vendors as stored tables."""
+    return served(spark, sf_dir)[:4]
+
+
 def values_sql(name: str) -> str:
     """A seed as an SQL relation."""
     ddl, rows = SEEDS[name]

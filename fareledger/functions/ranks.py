@@ -4,20 +4,19 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from fareledger.session import literal_table, materialize, shared_dir
 
-# Rank error of the sketch is at most 1/ACCURACY of a group; brackets are wider than that.
-ACCURACY = 50_000
-MARGIN = 5.0 / ACCURACY
-# Below this many rows the margin may be under one rank, so the whole group is its own bracket.
-SMALL_GROUP = int(4 / MARGIN)
-
-
 def number_rows(df: DataFrame, *order: Column | str, name: str = "row_number") -> DataFrame:
     """Add a dense 1-based number in the total order ``order``.
 
@@ -53,96 +52,97 @@ def number_rows(df: DataFrame, *order: Column | str, name: str = "row_number") -
     )
 
 
-def sketch(value: Column, percents: Sequence[float]) -> Column:
-    """Mergeable sketch of the values just below and just above each requested rank."""
-    points = []
-    for p in percents:
-        points += [max(p - MARGIN, 0.0), min(p + MARGIN, 1.0)]
-    return F.percentile_approx(value, [float(p) for p in points], ACCURACY)
-
+def running_counts(schema: pa.Schema, keys: Sequence[str]):
+    """Adds the part's number and the running count of each group inside the part."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, carried = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            first = tuple(batch.column(k)[0].as_py() for k in keys)
+            starts = np.zeros(n, bool)
+            starts[0] = first != last
+            for key in keys:
+                column = batch.column(key)
+                now, before = column.slice(1), column.slice(0, n - 1)
+                same = pc.or_kleene(pc.equal(now, before), pc.and_(pc.is_null(now), pc.is_null(before)))
+                starts[1:] |= ~pc.fill_null(same, False).to_numpy(zero_copy_only=False)
+            counts = batch.column("_n").to_numpy()
+            total = np.cumsum(counts)
+            at = np.flatnonzero(starts)
+            base = np.concatenate([[-carried], total[at] - counts[at]])
+            upto = total - base[np.cumsum(starts)]
+            last, carried = tuple(batch.column(k)[n - 1].as_py() for k in keys), int(upto[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(upto)], schema=schema)
+    return run
+
+
+def ordered_counts(longs: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values with their counts (_value, _n), range-partitioned in order, written once.
+
+    ``_upto`` is the running count of a group inside its part ``_part``; parts follow the order of
+    the values. Equal values are combined before any shuffle, and a group may span all parts.
+    """
+    counted = longs.groupBy(*keys, F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    schema = T.StructType(counted.schema.fields + [
+        T.StructField("_part", T.IntegerType()), T.StructField("_upto", T.LongType())])
+    ordered = counted.orderBy(*keys, "_value")
+    return materialize(ordered.mapInArrow(running_counts(to_arrow_schema(schema), keys), schema))
 
-def brackets(
-    points: Column, percents: Sequence[float], low: Column, high: Column, count: Column
-) -> list[Column]:
-    """Columns ``_lo<i>`` and ``_hi<i>``: a closed value range per percent, open at the extremes.
 
-    They are plain columns and not an array, so testing a value against them stays in
-    generated code.
-    """
-    out, small = [], count < SMALL_GROUP
-    for i, p in enumerate(percents):
-        lower = low if p - MARGIN <= 0 else F.element_at(points, 2 * i + 1)
-        upper = high if p + MARGIN >= 1 else F.element_at(points, 2 * i + 2)
-        out += [
-            F.when(small, low).otherwise(lower).alias(f"_lo{i}"),
-            F.when(small, high).otherwise(upper).alias(f"_hi{i}"),
-        ]
-    return out
+def rank_span(percent: float, total: Column, method: str) -> tuple[Column, Column, Column]:
+    """First and second rank that a percentile of ``total`` values is made of, and the second's weight."""
+    if method == "linear":
+        position = F.lit(float(percent)) * (total - 1)
+        return F.floor(position) + 1, F.ceil(position) + 1, position - F.floor(position)
+    rank = F.greatest(F.ceil(F.lit(float(percent)) * total), F.lit(1).cast("long"))
+    return rank, rank, F.lit(0.0)
 
 
 def ranked_values(
-    longs: DataFrame, keys: Sequence[str], value: str, percents: Sequence[float]
+    longs: DataFrame, keys: Sequence[str], value: str, percents: Sequence[float], method: str = "linear"
 ) -> DataFrame:
-    """Value counts inside the brackets, one total per gap between them, and running ranks.
+    """Values and running ranks of the parts that hold a wanted rank.
 
-    ``longs`` holds non-null values with their bracket columns. Rows outside every bracket
-    collapse to one row per gap before the shuffle, so the window sorts a sliver of the
-    group instead of the group.
+    Each part's total of a group is one row; prefix sums over them (as many as there are parts)
+    say where each rank lies, and only those parts are opened again. No group of values is
+    sorted or gathered in one task, whatever its size.
     """
-    v = F.col(value)
-    inside, gap = F.lit(False), F.lit(0)
-    for i in range(len(percents)):
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        inside = inside | ((v >= lo) & (v <= hi))
-        gap = gap + (hi < v).cast("int")
-    counted = (
-        longs.select(*keys, value, inside.alias("_in"), gap.alias("_gap"))
-        .groupBy(
-            *keys,
-            F.when(F.col("_in"), v).alias("_value"),
-            F.when(~F.col("_in"), F.col("_gap")).alias("_gap"),
-        )
-        .agg(F.count("*").alias("_n"), F.min(value).alias("_first"))
-    )
-    ordered = Window.partitionBy(*keys).orderBy("_first")
-    whole = Window.partitionBy(*keys)
-    return counted.select(
-        *keys,
-        "_value",
-        "_n",
-        F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
-        F.sum("_n").over(whole).alias("_total"),
+    table = ordered_counts(longs, keys, value)
+    sizes = table.groupBy(*keys, "_part").agg(F.sum("_n").alias("_size"))
+    by_part = Window.partitionBy(*keys).orderBy("_part")
+    placed = sizes.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_part").alias("_at"),
+        (F.sum("_size").over(by_part.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")).alias("_before"),
+        "_size", F.sum("_size").over(Window.partitionBy(*keys)).alias("_total"),
     )
+    holds = F.lit(False)
+    for p in percents:
+        for rank in rank_span(p, F.col("_total"), method)[:2]:
+            holds = holds | ((rank > F.col("_before")) & (rank <= F.col("_before") + F.col("_size")))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return table.join(placed.where(holds), [F.col("_part") == F.col("_at"), *same]).select(
+        *keys, "_value", "_n", (F.col("_before") + F.col("_upto")).alias("_upto"), "_total")
 
 
 def percentile_columns(percents: dict[str, float], method: str = "linear") -> list[Column]:
     """Aggregates over ``ranked_values`` that return each percentile exactly.
 
     ``linear`` interpolates between neighbouring ranks, ``nearest`` takes rank ceil(p*n).
-    A rank that a bracket failed to cover raises instead of returning a guess.
     """
     out = []
     for name, p in percents.items():
-        if method == "linear":
-            position = F.lit(float(p)) * (F.col("_total") - 1)
-            lower, upper = F.floor(position) + 1, F.ceil(position) + 1
-            weight = F.max(position - F.floor(position))
-        else:
-            lower = upper = F.greatest(
-                F.ceil(F.lit(float(p)) * F.col("_total")), F.lit(1).cast("long")
-            )
-            weight = F.lit(0.0)
+        lower, upper, weight = rank_span(p, F.col("_total"), method)
+        weight = F.max(weight)
 
         def pick(rank: Column) -> Column:
             found = (F.col("_upto") - F.col("_n") < rank) & (rank <= F.col("_upto"))
             return F.max(F.when(found, F.col("_value")))
 
-        missed = F.raise_error(F.lit(f"percentile {p} fell outside its bracket"))
         below, above = pick(lower), pick(upper)
-        exact = F.when(weight == 0, below).otherwise(below + (above - below) * weight)
-        out.append(
-            F.when(below.isNotNull() & above.isNotNull(), exact).otherwise(missed).alias(name)
-        )
+        out.append(F.when(weight == 0, below).otherwise(below + (above - below) * weight).alias(name))
     return out
 
 
@@ -153,39 +153,16 @@ def exact_percentiles(
     keys: Sequence[str] = (),
     method: str = "linear",
 ) -> DataFrame:
-    """Exact percentiles per group by two scans: one sketch, one count inside its brackets."""
+    """Exact percentiles per group by rank selection over ordered value counts."""
     for p in percents.values():
         if not 0 <= p <= 1:
             raise ValueError("percentile must be between 0 and 1")
-    ps = list(percents.values())
     v = F.col(value) if isinstance(value, str) else value
     grouping = list(keys) or ["_all"]
     base = df if keys else df.withColumn("_all", F.lit(1))
     values = base.select(*grouping, v.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    bounds = materialize(
-        values.groupBy(*grouping)
-        .agg(
-            sketch(F.col("_v"), ps).alias("_points"),
-            F.min("_v").alias("_lo"),
-            F.max("_v").alias("_hi"),
-            F.count("*").alias("_count"),
-        )
-        .select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(grouping)],
-            *brackets(F.col("_points"), ps, F.col("_lo"), F.col("_hi"), F.col("_count")),
-        )
-    )
-    if keys:
-        same_group = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(grouping)]
-        longs = values.join(bounds, same_group)
-    else:
-        edges = bounds.drop("_k0").first()  # one row of a few numbers
-        longs = values.select("*", *[
-            F.lit(edges[c] if edges else None).cast("double").alias(c)
-            for c in bounds.columns if c != "_k0"
-        ])
     result = (
-        ranked_values(longs, grouping, "_v", ps)
+        ranked_values(values, grouping, "_v", list(percents.values()), method)
         .groupBy(*grouping)
         .agg(*percentile_columns(percents, method))
     )

@@ -31,6 +31,30 @@ def unique_key(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("row_count")).where("row_count > 1")
 
 
+def lineage_bits(
+    df: DataFrame, file: str = "source_file_id", number: str = "source_row_number"
+) -> DataFrame:
+    """Rows and distinct row numbers of each file, exactly.
+
+    A row sets one bit of a 64-bit word, and words are combined where the rows are read, so one
+    row in 64 is shuffled where row numbers are dense. Null row numbers count as one number.
+    """
+    n = F.col(number).cast("bigint")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(cast(`{number}` as bigint), 64L) as int))")
+    words = df.groupBy(F.col(file), F.floor(n / 64).alias("_word")).agg(
+        F.count("*").alias("_rows"), F.bit_or(bit).alias("_bits"))
+    distinct = F.when(F.col("_word").isNull(), F.lit(1)).otherwise(F.bit_count("_bits"))
+    return words.groupBy(file).agg(
+        F.sum("_rows").alias("row_count"), F.sum(distinct).alias("lineage_count"))
+
+
+def unique_lineage(
+    df: DataFrame, file: str = "source_file_id", number: str = "source_row_number"
+) -> DataFrame:
+    """Files that hold a row number more than once."""
+    return lineage_bits(df, file, number).where("row_count <> lineage_count")
+
+
 def relationships(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Non-null child values without a parent, with the rows that carry them.
 

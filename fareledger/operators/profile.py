@@ -1,7 +1,7 @@
 """Exact column profiles in long format, grouped by a ``source`` column.
 
-Counts, extremes and percentile sketches of all columns come from one scan; the exact
-percentiles need one more, which shuffles only the values near the requested ranks.
+Counts and extremes of all columns come from one scan; the exact percentiles come from one more,
+which shuffles distinct values with their counts and selects ranks by the totals of its parts.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareledger.functions.columns import finite, melt, outside_month, rate, seconds_between
-from fareledger.functions.ranks import brackets, percentile_columns, ranked_values, sketch
+from fareledger.functions.ranks import percentile_columns, ranked_values
 from fareledger.operators.quality import (
     exact_duplicates,
     id_type,
@@ -77,20 +77,12 @@ def numeric_profile(df: DataFrame, columns: dict[str, Column] | Sequence[str]) -
             F.count_if(number < 0).alias(f"count_lt_0|{c}"),
             F.count_if(number == 0).alias(f"count_eq_0|{c}"),
             F.count_if(number > 0).alias(f"count_gt_0|{c}"),
-            sketch(number, ps).alias(f"_points|{c}"),
         ]
     facts = ["non_null_count", "null_count", "_lo", "_hi", "count_lt_0", "count_eq_0",
-             "count_gt_0", "_points"]
+             "count_gt_0"]
     stats = materialize(_per_column(shaped.groupBy(SOURCE).agg(*aggregates), names, facts))
-    bounds = stats.where(F.col("_lo").isNotNull()).select(
-        SOURCE, "column",
-        *brackets(
-            F.col("_points"), ps, F.col("_lo"), F.col("_hi"),
-            F.col("count_lt_0") + F.col("count_eq_0") + F.col("count_gt_0"),
-        ),
-    )
     cells = {c: F.when(~F.isnan(f"`{c}`"), F.col(f"`{c}`")) for c in names}
-    longs = melt(shaped, [SOURCE], cells, "column", "_v").join(bounds, [SOURCE, "column"])
+    longs = melt(shaped, [SOURCE], cells, "column", "_v")
     exact = (
         ranked_values(longs, [SOURCE, "column"], "_v", ps)
         .groupBy(SOURCE, "column").agg(*percentile_columns(PERCENTS))

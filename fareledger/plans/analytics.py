@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareledger.operators.checks import lineage_bits
+
 MEASURES = {
     "trip_count": lambda: F.count("*"),
     "total_amount": lambda: F.sum("total_amount"),
@@ -22,12 +24,14 @@ def _measures() -> list[Column]:
 
 def trip_filter(
     facts: DataFrame, dates: DataFrame, service_type: str | None = None,
-    start: date | None = None, end: date | None = None,
+    start: date | None = None, end: date | None = None, ranges: DataFrame | None = None,
 ) -> DataFrame:
     """Facts joined to their pickup date, restricted by service and an inclusive date range.
 
     Any bound drops trips of the Unknown date. Known keys are yyyymmdd, so the bounds are
-    also stated on the fact's own key, where they can skip row groups before the join.
+    also stated on the fact's own key, where they can skip row groups before the join. With the
+    stored ``ranges`` of files they become a filter on the partition column as well, and the
+    files of other dates are not opened at all.
     """
     if start is not None and end is not None and start > end:
         raise ValueError("start_date must be on or before end_date")
@@ -40,6 +44,14 @@ def trip_filter(
     if end is not None:
         dates = dates.where(F.col("full_date") <= F.lit(end))
         facts = facts.where((key > 0) & (key <= int(end.strftime("%Y%m%d"))))
+    if ranges is not None and (start is not None or end is not None):
+        first, last = F.col("min_date_key"), F.col("max_date_key")
+        holding = ranges.where(first.isNotNull())
+        if start is not None:
+            holding = holding.where(last >= int(start.strftime("%Y%m%d")))
+        if end is not None:
+            holding = holding.where(first <= int(end.strftime("%Y%m%d")))
+        facts = facts.join(holding.select("source_file_id"), "source_file_id", "left_semi")
     days = dates.select(F.col("date_key").alias("pickup_date_key"), "full_date")
     return facts.join(days, "pickup_date_key")
 
@@ -66,13 +78,18 @@ def top_zones(
 
     Trips collapse to one row per zone key before the zone attributes are joined.
     """
-    if not 1 <= limit <= 100:
-        raise ValueError("limit must be between 1 and 100")
     per_zone = (
         trip_filter(facts, dates, **bounds)
         .groupBy(F.col("pickup_zone_key").alias("zone_key"))
         .agg(F.count("*").alias("trip_count"), F.sum("total_amount").alias("total_amount"))
     )
+    return named_zones(per_zone, zones, limit)
+
+
+def named_zones(per_zone: DataFrame, zones: DataFrame, limit: int) -> DataFrame:
+    """The ``limit`` busiest zones with their attributes, ties by zone key."""
+    if not 1 <= limit <= 100:
+        raise ValueError("limit must be between 1 and 100")
     named = zones.select("zone_key", "location_id", "borough", "zone_name")
     return (
         per_zone.join(named, "zone_key")
@@ -105,8 +122,7 @@ def zone_labels(top: DataFrame) -> DataFrame:
 
 def lineage_counts(facts: DataFrame) -> DataFrame:
     """Rows and distinct (file, row number) pairs."""
-    return facts.groupBy("source_file_id", "source_row_number").agg(
-        F.count("*").alias("_n")
-    ).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"), F.count("*").alias("lineage_count")
+    return lineage_bits(facts).agg(
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum("lineage_count"), F.lit(0)).alias("lineage_count"),
     )

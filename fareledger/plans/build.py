@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fareledger.operators import checks
 from fareledger.operators.registry import raise_if_any
-from fareledger.plans import star
+from fareledger.plans import rollup, star
 from fareledger.plans.ingest import registry_state
 from fareledger.session import materialize
 from fareledger.sources.schemas import LOADED, ZONE_PARTITION
@@ -31,6 +31,8 @@ class Models:
     dim_zone: DataFrame
     dim_vendor: DataFrame
     facts: DataFrame
+    rollup: DataFrame
+    ranges: DataFrame
 
 
 def fact_builder(dates: DataFrame, zones: DataFrame, vendors: DataFrame):
@@ -76,7 +78,7 @@ def model_tests(models: Models, warehouse: Warehouse) -> dict[str, DataFrame]:
     tests["relationships_fct_trips"] = checks.relationships_many(facts, parents)
     for name, df in (("fct_trips", facts), ("int_trips", models.trips),
                      ("stg_yellow", models.yellow), ("stg_green", models.green)):
-        tests[f"{name}_lineage_unique"] = checks.unique_key(df, lineage)
+        tests[f"{name}_lineage_unique"] = checks.unique_lineage(df, *lineage)
     for name, df in (("stg_yellow", models.yellow), ("stg_green", models.green)):
         tests[f"not_null_{name}"] = checks.not_null_many(
             df, ["service_type", *lineage, "pipeline_run_id", "ingested_at"]
@@ -154,7 +156,8 @@ def build_all(warehouse: Warehouse, full_refresh: bool = False) -> Models:
         dates, facts = warehouse.read("marts/dim_date"), warehouse.read(star.FACT_TABLE)
         if fresh.where((F.col("status") == LOADED) & F.col("service_type").isNotNull()).isEmpty():
             _require(dimension_tests(dates, dim_zone, dim_vendor))
-            return Models(registry, yellow, green, zones, trips, dates, dim_zone, dim_vendor, facts)
+            return Models(registry, yellow, green, zones, trips, dates, dim_zone, dim_vendor, facts,
+                          *rollup.refresh(warehouse))
         arriving = star.enrich(star.normalize(
             star.stage_yellow(warehouse.raw("yellow_tripdata"), fresh),
             star.stage_green(warehouse.raw("green_tripdata"), fresh),
@@ -165,7 +168,8 @@ def build_all(warehouse: Warehouse, full_refresh: bool = False) -> Models:
     facts = star.incremental_fact(
         arriving, warehouse, fact_builder(dates, dim_zone, dim_vendor), full_refresh, only_new=True
     )
-    return Models(registry, yellow, green, zones, trips, dates, dim_zone, dim_vendor, facts)
+    return Models(registry, yellow, green, zones, trips, dates, dim_zone, dim_vendor, facts,
+                  *rollup.refresh(warehouse, rebuild))
 
 
 def build_and_test(warehouse: Warehouse, full_refresh: bool = False) -> Models:

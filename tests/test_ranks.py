@@ -33,17 +33,35 @@ def test_linear_percentiles_equal_numpy(spark, name):
         assert got[label] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-9)
 
 
-def test_large_groups_use_brackets(spark):
-    """Beyond SMALL_GROUP rows only the neighbourhood of each rank is sorted."""
-    n = 3 * ranks.SMALL_GROUP
-    df = spark.range(n).select(
-        F.pmod(F.col("id") * 7919, F.lit(n)).cast("double").alias("u"),
-    ).select(F.when(F.col("u") < n / 3, F.lit(0.0)).otherwise(F.col("u")).alias("v"))
-    values = np.arange(n, dtype=float)
-    values[: math.ceil(n / 3)] = 0.0
-    got = rows(ranks.exact_percentiles(df, "v", PERCENTS))[0]
-    for label, p in PERCENTS.items():
-        assert got[label] == pytest.approx(np.quantile(values, p), rel=1e-12)
+def test_groups_that_span_parts(spark):
+    """Hot, spread, tiny, empty and null groups over many small parts and batches."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        rng = random.Random(4)
+        groups = {"hot": [0.0] * 700 + [float(i) for i in range(900)], "spread": [rng.gauss(0, 9) for _ in range(400)],
+                  "one": [2.5], "two": [1.0, 1.0, 4.0], None: [float(i % 7) for i in range(60)]}
+        listed = [(k, v) for k, vs in groups.items() for v in vs] + [("nothing", None)] * 3
+        rng.shuffle(listed)
+        df = literal_table(spark, listed, "k string, v double").repartition(6)
+        got = {r["k"]: r for r in rows(ranks.exact_percentiles(df, "v", PERCENTS, ["k"]))}
+        assert set(got) == set(groups)
+        for key, values in groups.items():
+            for label, p in PERCENTS.items():
+                assert got[key][label] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12), (key, label)
+        near = {r["k"]: r["percentile"] for r in rows(ranks.nearest_rank_percentile(df, "v", .95, ["k"]))}
+        assert near == {k: sorted(vs)[math.ceil(.95 * len(vs)) - 1] for k, vs in groups.items()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_no_window_over_values(spark):
+    """Windows see one row a part and group; values are range-partitioned."""
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
+    plan = ranks.exact_percentiles(df, "v", PERCENTS, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window" in line]
+    assert windows and all("_size" in line for line in windows)
 
 
 def test_groups_and_partitions_do_not_matter(spark):
