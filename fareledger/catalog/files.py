@@ -40,10 +40,6 @@ def table_name(path: str = "path") -> F.Column:
     return F.regexp_extract(path, r"([^/]+)\.parquet$", 1).alias("table_name")
 
 
-def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest.list_files(spark, sf_dir).select(table_name())
-
-
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes, checksum and footer counts of every table file."""
     return manifest.file_identity(paths(spark, sf_dir)).select(
@@ -156,7 +152,7 @@ def landing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "list_files": list_files, "file_manifest": file_manifest, "manifest_counts": manifest_counts,
+    "file_manifest": file_manifest, "manifest_counts": manifest_counts,
     "footer_stats": footer_stats, "schema_fingerprint": schema_fingerprint,
     "contract_check": contract_check, "schema_drift": schema_drift,
     "documented_presence": documented_presence, "zone_contract": zone_contract,
@@ -174,7 +170,6 @@ FIELDS_CTE = f"""fields AS (
          is_nullable = 'YES' AS nullable
   FROM information_schema.columns WHERE table_name IN ({_NAMES}))"""
 ORACLE = {
-    "list_files": f"SELECT table_name FROM ({_COUNTS}) AS c",
     "manifest_counts": _COUNTS,
     "footer_stats": f"WITH {FIELDS_CTE} SELECT * FROM fields",
     "schema_fingerprint": f"""WITH {FIELDS_CTE} SELECT table_name,

@@ -27,6 +27,11 @@ def year_month(column: str) -> F.Column:
     return (F.year(column) * 100 + F.month(column)).cast("bigint")
 
 
+def location(nation: str, balance: str) -> F.Column:
+    """The nation's zone, or a code that no zone has where the account is overdrawn."""
+    return F.when(F.col(balance) < 0, F.col(nation) + 901).otherwise(F.col(nation) + 1)
+
+
 def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as trips from order date to ship date; the ship month is the file."""
     lines = spread(table(spark, sf_dir, "lineitem").select(
@@ -35,8 +40,8 @@ def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("_metadata.row_index") + 1).alias("_row"),
     ))
     orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -45,15 +50,15 @@ def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     price, discount = F.col("l_extendedprice"), F.col("l_discount")
     return align_columns(joined.select(
         F.lit("line").alias("service_type"),
-        F.col("l_suppkey").alias("vendor_id"),
+        F.when(F.col("s_acctbal") < 0, -F.col("l_suppkey")).otherwise(F.col("l_suppkey")).alias("vendor_id"),
         F.col("o_orderdate").alias("pickup_datetime"),
         F.col("l_shipdate").alias("dropoff_datetime"),
         F.col("l_quantity").alias("passenger_count"),
         F.col("l_quantity").alias("trip_distance_miles"),
         F.col("l_linenumber").alias("rate_code_id"),
         F.col("l_returnflag").alias("store_and_fwd_flag"),
-        (F.col("c_nationkey") + 1).alias("pickup_location_id"),
-        (F.col("s_nationkey") + 1).alias("dropoff_location_id"),
+        location("c_nationkey", "c_acctbal").alias("pickup_location_id"),
+        location("s_nationkey", "s_acctbal").alias("dropoff_location_id"),
         F.substring("o_orderpriority", 1, 1).alias("payment_type"),
         price.alias("fare_amount"),
         discount.alias("extra_amount"),
@@ -71,14 +76,14 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "*", (F.col("_metadata.row_index") + 1).alias("_row")
     )
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
     file_id = year_month("o_orderdate") + 1_000_000
     return align_columns(joined.select(
         F.lit("order").alias("service_type"),
         F.col("o_orderdate").alias("pickup_datetime"),
         F.col("o_orderstatus").alias("store_and_fwd_flag"),
-        (F.col("c_nationkey") + 1).alias("pickup_location_id"),
+        location("c_nationkey", "c_acctbal").alias("pickup_location_id"),
         F.substring("o_orderpriority", 1, 1).alias("payment_type"),
         F.lit(1).alias("trip_type"),
         F.col("o_totalprice").alias("fare_amount"),
@@ -94,11 +99,10 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as zones; those of one region are left out, so some trips stay unresolved."""
+    """Nations as zones; trips of overdrawn accounts carry codes beyond them."""
     nations, regions = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (
         nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-        .where(F.col("r_name") != "EUROPE")
         .select(
             (F.col("n_nationkey") + 1).alias("location_id"), F.col("r_name").alias("borough"),
             F.col("n_name").alias("zone_name"), F.lit("Nation").alias("service_zone"),
@@ -107,8 +111,8 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers in credit as known vendors."""
-    return table(spark, sf_dir, "supplier").where("s_acctbal >= 0").select(
+    """Suppliers as vendors; lines of overdrawn suppliers carry a code that none has."""
+    return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("int").alias("vendor_id"), F.col("s_name").alias("vendor_name")
     )
 
@@ -172,15 +176,15 @@ def values_sql(name: str) -> str:
 ZONES_SQL = """
 SELECT n_nationkey + 1 AS location_id, r_name AS borough, n_name AS zone_name,
        'Nation' AS service_zone
-FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'EUROPE'
+FROM nation JOIN region ON n_regionkey = r_regionkey
 """
-VENDORS_SQL = "SELECT CAST(s_suppkey AS INTEGER) AS vendor_id, s_name AS vendor_name FROM supplier WHERE s_acctbal >= 0"
+VENDORS_SQL = "SELECT CAST(s_suppkey AS INTEGER) AS vendor_id, s_name AS vendor_name FROM supplier"
 LINES_SQL = """
-SELECT 'line' AS service_type, CAST(l_suppkey AS INTEGER) AS vendor_id,
+SELECT 'line' AS service_type, CAST(CASE WHEN s_acctbal < 0 THEN -l_suppkey ELSE l_suppkey END AS INTEGER) AS vendor_id,
        o_orderdate AS pickup_datetime, l_shipdate AS dropoff_datetime,
        CAST(l_quantity AS BIGINT) AS passenger_count, l_quantity AS trip_distance_miles,
        CAST(l_linenumber AS BIGINT) AS rate_code_id, l_returnflag AS store_and_fwd_flag,
-       c_nationkey + 1 AS pickup_location_id, s_nationkey + 1 AS dropoff_location_id,
+       CASE WHEN c_acctbal < 0 THEN c_nationkey + 901 ELSE c_nationkey + 1 END AS pickup_location_id, CASE WHEN s_acctbal < 0 THEN s_nationkey + 901 ELSE s_nationkey + 1 END AS dropoff_location_id,
        CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS payment_type,
        CAST(NULL AS BIGINT) AS trip_type,
        l_extendedprice AS fare_amount, l_discount AS extra_amount, l_tax AS mta_tax_amount,
@@ -201,7 +205,7 @@ SELECT 'order' AS service_type, CAST(NULL AS INTEGER) AS vendor_id,
        o_orderdate AS pickup_datetime, CAST(NULL AS TIMESTAMP) AS dropoff_datetime,
        CAST(NULL AS BIGINT) AS passenger_count, CAST(NULL AS DOUBLE) AS trip_distance_miles,
        CAST(NULL AS BIGINT) AS rate_code_id, o_orderstatus AS store_and_fwd_flag,
-       c_nationkey + 1 AS pickup_location_id, CAST(NULL AS INTEGER) AS dropoff_location_id,
+       CASE WHEN c_acctbal < 0 THEN c_nationkey + 901 ELSE c_nationkey + 1 END AS pickup_location_id, CAST(NULL AS INTEGER) AS dropoff_location_id,
        CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS payment_type,
        CAST(1 AS BIGINT) AS trip_type,
        o_totalprice AS fare_amount, CAST(NULL AS DOUBLE) AS extra_amount,

@@ -27,6 +27,10 @@ from fareledger.sources.schemas import ALREADY_LOADED, PROCEED, SKIPPED, SOURCE_
 from fareledger.sources.tables import RAW_TABLES, Warehouse
 
 
+REFUSED = "refused"
+REFUSED_TABLE = "ops/refused_files"
+
+
 class ContractError(ValueError):
     """A file does not match a supported contract."""
 
@@ -60,24 +64,29 @@ def ingest_batch(
     spark, now = warehouse.spark, now or datetime.now(UTC)
     if manifest is None:
         manifest = materialize(file_manifest(source_list(spark, sources)))
-    if strict:
-        refusal = manifest.where("rejection IS NOT NULL").select("rejection").limit(1).collect()
-        if refusal:
-            raise ContractError(refusal[0][0])
+    turned_away = materialize(refusals(manifest, now))
+    if not turned_away.isEmpty():
+        warehouse.append(turned_away, REFUSED_TABLE)
+        if strict:
+            raise ContractError(turned_away.orderBy("path").select("rejection").first()[0])
     accepted = manifest.where("rejection IS NULL")
-    outcome = materialize(register(accepted, registry_state(warehouse)))
-    if not outcome.where("is_new").isEmpty():
-        warehouse.append(registration_rows(outcome, now), "ops/source_files")
-
-    before = warehouse.run_events().agg(F.max("run_id")).first()[0] or 0
-    skipped = outcome.where(F.col("decision") != PROCEED)
-    if not skipped.isEmpty():
-        warehouse.append(log_skipped(skipped, warehouse.run_events(), now), "ops/run_events")
-    ready = outcome.where(F.col("decision") == PROCEED)
+    with warehouse.exclusive("registration"):  # ids are given out by one batch at a time
+        outcome = materialize(register(accepted, registry_state(warehouse)))
+        if not outcome.where("is_new").isEmpty():
+            warehouse.append(registration_rows(outcome, now), "ops/source_files")
+        attempts = []
+        skipped = outcome.where(F.col("decision") != PROCEED)
+        if not skipped.isEmpty():
+            attempts.append(materialize(log_skipped(skipped, warehouse.run_events(), now)))
+            warehouse.append(attempts[-1], "ops/run_events")
+        ready = outcome.where(F.col("decision") == PROCEED)
+        begun = not ready.isEmpty()
+        if begun:
+            attempts.append(materialize(start_runs(ready, warehouse.run_events(), now)))
+            warehouse.append(attempts[-1], "ops/run_events")
     failures: list[str] = []
-    if not ready.isEmpty():
-        started = materialize(start_runs(ready, warehouse.run_events(), now))
-        warehouse.append(started, "ops/run_events")
+    if begun:
+        started = attempts[-1]
         paths = accepted.groupBy("partition_key", "checksum_sha256").agg(F.min("path").alias("path"))
         assignments = materialize(
             ready.join(paths, ["partition_key", "checksum_sha256"])
@@ -86,56 +95,92 @@ def ingest_batch(
         )
         outcomes = []
         for dataset in RAW_TABLES:
-            done, failure = _load(warehouse, dataset, assignments, now)
-            outcomes += [done] if done is not None else []
-            failures += [failure] if failure else []
+            done, failed = _load(warehouse, dataset, assignments, now)
+            outcomes += done
+            failures += failed
         warehouse.append(
             finish_runs(materialize(reduce(DataFrame.unionByName, outcomes)),
                         warehouse.run_events(), registry_state(warehouse), now),
             "ops/run_events",
         )
-    if failures:
+    if failures and strict:
         raise IngestionError(failures[0])
-    runs = current_runs(warehouse.run_events()).where(F.col("run_id") > before)
+    runs = current_runs(warehouse.run_events())
+    if attempts:
+        mine = reduce(DataFrame.unionByName, [a.select("run_id") for a in attempts])
+        runs = runs.join(mine, "run_id", "left_semi")
+    else:
+        runs = runs.limit(0)
     keys = outcome.select("source_file_id", "partition_key")
-    return runs.join(keys, "source_file_id").select(
+    tried = runs.join(keys, "source_file_id").select(
         "partition_key", "source_file_id", "run_id", "status", "status_reason",
         F.coalesce("rows_read", F.lit(0)).alias("rows_read"),
-        F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"),
+        F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"), "error_message",
     )
+    return tried.unionByName(turned_away.select(
+        "partition_key", F.lit(REFUSED).alias("status"), F.col("rejection").alias("error_message"),
+        F.lit(0).cast("bigint").alias("rows_read"), F.lit(0).cast("bigint").alias("rows_loaded"),
+    ), allowMissingColumns=True)
+
+
+def refusals(manifest: DataFrame, now: datetime) -> DataFrame:
+    """One row per file that meets no contract; such a file is never registered."""
+    return manifest.where("rejection IS NOT NULL").select(
+        "partition_key", "path", "dataset_name", "rejection", F.lit(now).cast("timestamp").alias("refused_at"))
+
+
+OUTCOME = "run_id bigint, succeeded boolean, rows_read bigint, rows_loaded bigint, error_message string"
 
 
 def _load(
     warehouse: Warehouse, dataset: str, assignments: DataFrame, now: datetime
-) -> tuple[DataFrame | None, str | None]:
-    """Load one dataset's files in one job; returns run outcomes and a failure message."""
+) -> tuple[list[DataFrame], list[str]]:
+    """Load one dataset's files; returns run outcomes and the messages of failures.
+
+    All files go in one job. If it fails it leaves nothing, and the files are halved until the bad
+    ones stand alone: with k bad files among n some k * log2(n) jobs more, and every good file loaded.
+    """
+    spark = warehouse.spark
     mine = assignments.where(F.col("dataset_name") == dataset)
-    listed = mine.select("path", "source_file_id").collect()  # one row per file of the batch
-    if not listed:
-        return None, None
-    shape = "run_id bigint, succeeded boolean, rows_read bigint, rows_loaded bigint, error_message string"
-    try:
-        rows = read_raw(warehouse.spark, dataset, mine, [row["path"] for row in listed], now)
-        warehouse.append_raw(rows, dataset)
-    except Exception as error:  # any failure is recorded on the runs, then raised
-        text = " ".join(str(error).split()) or type(error).__name__
-        runs = [(row["run_id"], False, None, None, text) for row in mine.select("run_id").collect()]
-        return literal_table(warehouse.spark, runs, shape), text
-    ids = [row["source_file_id"] for row in listed]
-    stored = warehouse.raw(dataset).where(F.col("_source_file_id").isin(ids))
-    wrong = materialize(reconcile_counts(mine, stored))
-    message = F.format_string(
-        "Row-count mismatch: read %d, expected %s", "rows_loaded",
-        F.coalesce(F.col("rows_expected").cast("string"), F.lit("none")),
-    )
-    outcomes = mine.join(wrong, "source_file_id", "left").select(
-        "run_id", F.col("rows_loaded").isNull().alias("succeeded"),
-        F.col("row_count").alias("rows_read"),
-        F.col("row_count").alias("rows_loaded"),
-        F.when(F.col("rows_loaded").isNotNull(), message).alias("error_message"),
-    )
-    first = outcomes.where("NOT succeeded").select("error_message").limit(1).collect()
-    return outcomes, first[0][0] if first else None
+    listed = mine.select("path", "source_file_id", "run_id").orderBy("source_file_id").collect()
+    waiting, loaded, failed = [listed] if listed else [], [], []
+    while waiting:
+        files = waiting.pop()
+        part = literal_table(spark, [tuple(f) for f in files],
+                             "path string, source_file_id bigint, run_id bigint")
+        try:
+            warehouse.append_raw(read_raw(spark, dataset, part, [f["path"] for f in files], now), dataset)
+        except Exception as error:  # recorded on the run of the file that cannot be loaded
+            if len(files) > 1:
+                half = len(files) // 2
+                waiting += [files[half:], files[:half]]
+                continue
+            text = " ".join(str(error).split()) or type(error).__name__
+            failed.append((files[0]["run_id"], False, None, None, text))
+        else:
+            loaded += [(f["source_file_id"],) for f in files]
+    outcomes, messages = [], [f[-1] for f in failed]
+    if failed:
+        outcomes.append(literal_table(spark, failed, OUTCOME))
+    if loaded:
+        ids = literal_table(spark, loaded, "source_file_id bigint")
+        kept = mine.join(ids, "source_file_id", "left_semi")
+        stored = warehouse.raw(dataset).join(
+            ids.withColumnRenamed("source_file_id", "_source_file_id"), "_source_file_id", "left_semi")
+        wrong = materialize(reconcile_counts(kept, stored))
+        message = F.format_string(
+            "Row-count mismatch: read %d, expected %s", "rows_loaded",
+            F.coalesce(F.col("rows_expected").cast("string"), F.lit("none")),
+        )
+        done = materialize(kept.join(wrong, "source_file_id", "left").select(
+            "run_id", F.col("rows_loaded").isNull().alias("succeeded"),
+            F.col("row_count").alias("rows_read"),
+            F.col("row_count").alias("rows_loaded"),
+            F.when(F.col("rows_loaded").isNotNull(), message).alias("error_message"),
+        ))
+        outcomes.append(done)
+        messages += [r[0] for r in done.where("NOT succeeded").select("error_message").collect()]
+    return outcomes, messages
 
 
 def ensure_loaded(warehouse: Warehouse, sources: list[dict], now: datetime | None = None) -> DataFrame:

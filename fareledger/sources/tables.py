@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -51,6 +56,38 @@ class Warehouse:
         path = jvm.org.apache.hadoop.fs.Path(self.path(table))
         return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
+    @contextmanager
+    def exclusive(self, name: str, wait: float = 600.0, lease: float = 3600.0) -> Iterator[None]:
+        """Hold a marker file that one writer at a time can create.
+
+        The file system creates it only if it is not there. Another writer waits; a marker older
+        than ``lease`` seconds belongs to a writer that died and is taken over.
+        """
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(self.path(f"ops/_held/{name}"))
+        files, until = path.getFileSystem(conf), time.monotonic() + wait
+
+        def taken() -> bool:
+            try:
+                files.create(path, False).close()
+                return False
+            except Py4JJavaError as error:
+                if not files.exists(path) and "Exist" not in error.java_exception.getClass().getName():
+                    raise
+                return True
+
+        while taken():
+            if time.monotonic() > until:
+                raise TimeoutError(f"another writer holds {path}")
+            held = files.globStatus(path)  # empty if the holder has just let go
+            if held and time.time() - held[0].getModificationTime() / 1000 > lease:
+                files.delete(path, False)
+            time.sleep(0.2)
+        try:
+            yield
+        finally:
+            files.delete(path, False)
+
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         if not self.exists(table):
             if schema is None:

@@ -59,32 +59,32 @@ def row(names, values):
     return dict(zip(names, values, strict=True))
 
 
+# An ordinary trip, a refunded one that ends before it starts, and one of unknown codes and time.
 YELLOW_ROWS = [
-    row(YELLOW.names, [1, at("2025-01-05 10:00"), at("2025-01-05 10:15"), 1, 2.0, 1, "N", 1, 2, 1,
-                       10.0, 1.0, .5, 2.0, 0.0, 1.0, 14.5, 0.0, 0.0, .75]),
-    row(YELLOW.names, [2, at("2025-01-06 11:00"), at("2025-01-06 10:59"), None, 0.0, None, None, 2,
-                       1, 2, -2.0, 0.0, .5, 0.0, 0.0, 1.0, -.5, None, None, None]),
-    row(YELLOW.names, [99, None, at("2025-01-01 00:10"), 0, 4.0, 88, "X", 999, 998, 9, 20.0, 1.0,
-                       .5, 3.0, 0.0, 1.0, 25.5, 0.0, 0.0, .75]),
+    row(YELLOW.names, [6, at("2025-01-18 17:42:10"), at("2025-01-18 18:03:55"), 2, 3.7, 1, "N", 11, 12, 2,
+                       17.25, 2.5, .5, 0.0, 6.94, 1.0, 31.19, 2.5, 0.0, .5]),
+    row(YELLOW.names, [7, at("2025-01-23 06:05:00"), at("2025-01-23 05:58:30"), None, 0.0, None, None,
+                       12, 11, 1, -8.6, 0.0, -.5, 0.0, 0.0, -1.0, -10.1, None, None, None]),
+    row(YELLOW.names, [41, None, at("2025-01-30 22:11:00"), 4, 12.25, 57, "Y", 777, 778, 8, 48.0, 0.0,
+                       .5, 9.6, 0.0, 1.0, 63.85, 2.5, 1.75, .5]),
 ]
 YELLOW_LATER = [
-    YELLOW_ROWS[0] | {"tpep_pickup_datetime": at("2025-02-03 08:00"),
-                      "tpep_dropoff_datetime": at("2025-02-03 08:10")},
-    YELLOW_ROWS[1] | {"tpep_pickup_datetime": at("2025-02-04 09:00"),
-                      "tpep_dropoff_datetime": at("2025-02-04 09:20")},
+    YELLOW_ROWS[0] | {"tpep_pickup_datetime": at("2025-02-09 12:20:30"),
+                      "tpep_dropoff_datetime": at("2025-02-09 12:41:00"), "payment_type": 1},
+    YELLOW_ROWS[1] | {"tpep_pickup_datetime": at("2025-02-17 19:30:00"),
+                      "tpep_dropoff_datetime": at("2025-02-17 19:52:15"), "trip_distance": 4.4},
 ]
 GREEN_ROWS = [
-    row(GREEN.names, [vendor, at("2025-01-07 09:00"), at("2025-01-07 09:10"), flag, 1, pu, do,
-                      riders, miles, fare, 0.0, .5, tip, 0.0, None, 1.0, total, pay, kind, 0.0, .75])
-    for vendor, flag, pu, do, riders, miles, fare, tip, total, pay, kind in [
-        (1, "N", 1, 2, 1, 1.0, 8.0, 1.0, 10.5, 1, 1),
-        (2, "Y", 2, 1, 2, 0.0, 9.0, 2.0, 12.5, 1, 2),
-        (2, "N", 999, 1, 1, 3.0, -1.0, 0.0, .5, 9, 3),
-    ]
+    row(GREEN.names, [1, at("2025-01-04 13:15:00"), at("2025-01-04 13:47:20"), "N", 5, 12, 12, 3, 8.8, 31.0,
+                      0.0, .5, 6.2, 0.0, None, 1.0, 38.7, 1, 2, 0.0, 0.0]),
+    row(GREEN.names, [6, at("2025-01-12 00:30:45"), at("2025-01-12 00:31:00"), "Y", 1, 11, 777, None, 0.1, 3.0,
+                      1.0, .5, 0.0, 0.0, None, 1.0, 5.5, 2, 1, 0.0, 0.0]),
+    row(GREEN.names, [2, at("2025-01-27 08:00:00"), at("2025-01-27 08:25:00"), "N", 1, 12, 11, 1, 5.5, -21.0,
+                      0.0, -.5, 0.0, 0.0, None, -1.0, -22.5, 4, 1, 0.0, None]),
 ]
 ZONE_CSV = (
-    '"LocationID","Borough","Zone","service_zone"\n'
-    '1,"Manhattan","Alpha","Yellow Zone"\n2,"Queens","Beta","Boro Zone"\n'
+    "LocationID,Borough,Zone,service_zone\n"
+    "11,North Shore,\"Quarry Lane, upper end\",Outer\n12,Harbour,Pier Nine,Inner\n"
 )
 
 

@@ -51,7 +51,7 @@ def test_fixture_pipeline(spark, warehouse, landing):
     assert zones[-1]["borough"] == "Unknown"
     unknown = next(r for r in grown.values() if r["pickup_date_key"] == 0)
     assert unknown["vendor_key"] == 0 and unknown["pickup_zone_key"] == 0
-    assert unknown["rate_code_id"] == 88 and unknown["rate_code_name"] == "Unknown"
+    assert unknown["rate_code_id"] == 57 and unknown["rate_code_name"] == "Unknown"
     assert unknown["trip_duration_seconds"] is None
     tests = model_tests(rebuilt, warehouse)
     assert len(tests) == 24

@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,8 +39,8 @@ def test_lineage_and_absent_additive_column(spark, warehouse, landing):
     assert [(r["_source_file_id"], r["_source_row_number"]) for r in raw] == [
         (1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3)
     ]
-    assert [r["cbd_congestion_fee"] for r in raw] == [None, None, None, .75, None, .75]
-    assert [r["VendorID"] for r in raw[:3]] == [1, 2, 99]
+    assert [r["cbd_congestion_fee"] for r in raw] == [None, None, None, .5, None, .5]
+    assert [r["VendorID"] for r in raw[:3]] == [6, 7, 41]
     assert {r["_pipeline_run_id"] for r in raw} == {1, 2}
 
 
@@ -104,7 +105,61 @@ def test_refused_file_registers_nothing(spark, warehouse, landing):
         ingest_batch(warehouse, [yellow(landing), yellow(landing, 2)])
     assert not warehouse.exists("ops/source_files")
     result = rows(ingest_batch(warehouse, [yellow(landing), yellow(landing, 2)], strict=False))
-    assert [r["partition_key"] for r in result] == ["yellow/2025/01"]
+    assert sorted((r["partition_key"], r["status"], r["run_id"]) for r in result) == [
+        ("yellow/2025/01", "succeeded", 1), ("yellow/2025/02", "refused", None)]
+    assert all("empty" in r["error_message"] for r in result if r["status"] == "refused")
+    kept = rows(warehouse.read("ops/refused_files"))
+    assert [r["path"].rsplit("/", 1)[1] for r in kept] == ["02.parquet"] * 2
+
+
+def test_bad_files_stand_alone(spark, warehouse, landing):
+    """One torn file among thirty, and one without its rows: 28 load, two fail by themselves."""
+    months = [(2021 + i // 12, i % 12 + 1) for i in range(30)]
+    sources = []
+    for i, (year, month) in enumerate(months):
+        path = landing / f"data/landing/yellow/{year}/{month:02d}.parquet"
+        write_rows(path, YELLOW.fields, [YELLOW_ROWS[0] | {"fare_amount": float(i)}])
+        sources.append(trip_source("yellow", year, month, str(landing)))
+    manifest = materialize(file_manifest(source_list(spark, sources)))
+    torn = landing / "data/landing/yellow/2022/05.parquet"
+    content = bytearray(torn.read_bytes())
+    content[4:200] = bytes(196)  # the footer stays whole
+    torn.write_bytes(bytes(content))
+    wrong = manifest.withColumn("row_count", F.when(
+        F.col("partition_key") == "yellow/2021/03", F.lit(9)).otherwise(F.col("row_count")).cast("bigint"))
+    result = {r["partition_key"]: r for r in rows(ingest_batch(warehouse, [], manifest=wrong, strict=False))}
+    bad = {k: r["error_message"] for k, r in result.items() if r["status"] == "failed"}
+    assert sorted(bad) == ["yellow/2021/03", "yellow/2022/05"]
+    assert "Row-count mismatch" in bad["yellow/2021/03"] and "mismatch" not in bad["yellow/2022/05"]
+    assert sum(r["status"] == "succeeded" for r in result.values()) == 28
+    loaded = {r["fare_amount"] for r in rows(warehouse.raw("yellow_tripdata"))}
+    assert loaded == set(map(float, range(30))) - {16.0}
+    torn.write_bytes(bytes(content))
+    write_rows(torn, YELLOW.fields, [YELLOW_ROWS[0] | {"fare_amount": 16.0}])
+    again = rows(ingest_batch(warehouse, [], manifest=manifest, strict=False))
+    assert sorted((r["partition_key"], r["status"]) for r in again if r["status"] != "skipped") == [
+        ("yellow/2021/03", "succeeded"), ("yellow/2022/05", "succeeded")]
+
+
+def test_batches_at_once_share_no_id(spark, warehouse, landing):
+    sources = [[yellow(landing)], [trip_source("green", 2025, 1, str(landing))], [zone_source(str(landing))]]
+    with ThreadPoolExecutor(3) as pool:
+        results = list(pool.map(lambda one: rows(ingest_batch(warehouse, one)), sources))
+    assert all(r["status"] == "succeeded" for result in results for r in result)
+    assert sorted(r["source_file_id"] for r in rows(warehouse.registrations())) == [1, 2, 3]
+    assert sorted(r["run_id"] for result in results for r in result) == [1, 2, 3]
+
+
+def test_a_marker_is_held_by_one_writer(spark, warehouse):
+    with warehouse.exclusive("x"):
+        with pytest.raises(TimeoutError):
+            with warehouse.exclusive("x", wait=0.3):
+                pass
+        with warehouse.exclusive("y"):
+            pass
+    with warehouse.exclusive("x", wait=0.1):  # let go
+        with warehouse.exclusive("x", wait=5, lease=-1):  # or its holder is taken for dead
+            pass
 
 
 def test_registration_rules(spark, warehouse, landing):
@@ -156,5 +211,5 @@ def test_zone_source_loads_once(spark, warehouse, landing):
     ingest_batch(warehouse, [zones])
     assert rows(warehouse.raw("taxi_zone_lookup").select("LocationID", "_source_row_number")
                 .orderBy("LocationID")) == [
-        {"LocationID": 1, "_source_row_number": 1}, {"LocationID": 2, "_source_row_number": 2}
+        {"LocationID": 11, "_source_row_number": 1}, {"LocationID": 12, "_source_row_number": 2}
     ]

@@ -93,16 +93,16 @@ def test_lookup_reads_missing_texts(spark):
 def test_service_profile_compare_and_report(spark, tmp_path):
     ddl = ", ".join(f"{n} {k}" for n, k in YELLOW.fields)
     base = literal_table(spark, [tuple(r.values()) for r in YELLOW_ROWS], ddl)
-    zones = literal_table(spark, [(1,), (2,)], "LocationID int")
+    zones = literal_table(spark, [(11,), (12,)], "LocationID int")
     spec = profile.service_spec(YELLOW)
     assert len(spec.numerics) == 12 and len(profile.service_spec(GREEN).numerics) == 12
     both = profile.labelled(base, "jan").unionByName(
-        profile.labelled(base.where("VendorID <> 99"), "feb"))
+        profile.labelled(base.where("VendorID <> 41"), "feb"))
     long = profile.profile_service(both, spec, zones, "LocationID", 2025, 1)
     got = {(r["source"], r["section"], r["column"], r["metric"]): r["number"] for r in rows(long)}
-    assert got["jan", "numeric", "fare_amount", "p50"] == 10.0
+    assert got["jan", "numeric", "fare_amount", "p50"] == 17.25
     assert got["jan", "numeric", "trip_duration_seconds", "count_lt_0"] == 1
-    assert got["jan", "unmatched", "PULocationID", "999"] == 1
+    assert got["jan", "unmatched", "PULocationID", "777"] == 1
     assert got["jan", "domain", "store_and_fwd_flag", None] == 1
     assert got["feb", "duplicates", "*", "total_rows"] == 2
     delta = {(r["section"], r["column"], r["metric"]): r["delta"]

@@ -91,7 +91,7 @@ def test_analyze_registers_statistics(spark, warehouse, landing):
     try:
         assert spark.table("fct_check").count() == len(YELLOW_ROWS) + len(YELLOW_LATER)
         facts = spark.sql("DESCRIBE EXTENDED fct_check pickup_date_key").collect()
-        assert {r["info_name"]: r["info_value"] for r in facts}["max"] == "20250204"
+        assert {r["info_name"]: r["info_value"] for r in facts}["max"] == "20250217"
     finally:
         spark.sql("DROP TABLE fct_check")
     assert models.facts.count() == 5
