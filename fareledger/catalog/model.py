@@ -126,7 +126,7 @@ def summary_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rollup_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     partials = served(spark, sf_dir)[4]
     return partials.select(*[
-        F.round(f.name, 2).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+        F.round(f.name, 7).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
         for f in partials.schema.fields])
 
 
@@ -311,7 +311,7 @@ ORACLE = {
     "summary_facts": f"{STAR_SQL} SELECT {MEASURES_SQL} {FACTS} WHERE f.service_type = 'line' AND {Q1_1996}",
     "rollup_partials": f"""{STAR_SQL} SELECT source_file_id, pickup_date_key, service_type, pickup_zone_key,
       count(*) AS trip_count, """ + ", ".join(
-        f"round(sum({c}), 2) AS sum_{c}, count({c}) AS count_{c}" for c in rollup.SUMMED)
+        f"round(sum({c}), 7) AS sum_{c}, count({c}) AS count_{c}" for c in rollup.SUMMED)
       + " FROM facts GROUP BY 1, 2, 3, 4",
     "file_ranges": f"""{STAR_SQL} SELECT source_file_id,
       min(pickup_date_key) FILTER (pickup_date_key > 0) AS min_date_key,

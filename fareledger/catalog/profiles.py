@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareledger.catalog.files import FIELDS_CTE, paths, table_name
 from fareledger.catalog.trips import (
     LINES_SQL,
     TRIPS_CTE,
@@ -17,6 +18,7 @@ from fareledger.catalog.trips import (
     zones,
 )
 from fareledger.operators import profile
+from fareledger.sources import manifest
 
 NULLABLE = ["vendor_id", "dropoff_datetime", "rate_code_id", "tip_amount", "total_amount"]
 NUMERICS = ["passenger_count", "fare_amount", "tip_amount", "total_amount"]
@@ -98,7 +100,7 @@ def p_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "lookup",
     )
-    parts = profile.lookup_profile(lookup)
+    parts = profile.lookup_profile(lookup)  # its types are compared by p_types
     whole = F.lit("*")
     return reduce(DataFrame.unionByName, [
         profile.long_format(parts["columns"], "columns"),
@@ -123,8 +125,28 @@ def p_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(profile.profile_compare(_service(spark, sf_dir), "line", "order"), ["delta"])
 
 
+def p_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types read out of order cells as text, by order status."""
+    orders = table(spark, sf_dir, "orders")
+    late = F.year("o_orderdate") > 1996
+    cells = orders.select(
+        F.col("o_orderstatus").alias("source"), F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.col("o_totalprice").cast("string").alias("o_totalprice"), "o_orderstatus",
+        F.when(late, F.col("o_custkey").cast("string")).alias("o_clerk_number"),
+        late.cast("string").alias("o_late"), F.when(late, F.lit("False")).alias("o_rare"),
+        F.lit(None).cast("string").alias("o_nothing"),
+        F.when(late, F.lit("7")).otherwise(F.lit("7.5")).alias("o_mixed"))
+    return profile.inferred_types(cells, list(TYPE_CELLS))
+
+
+def p_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema section of every table's file, with three documented names."""
+    fields = manifest.footer_stats(paths(spark, sf_dir)).withColumn("source", table_name())
+    return profile.schema_profile(fields, ["doc_id", "text", "label"])
+
+
 QUERIES = {
-    "p_null": p_null, "p_numeric": p_numeric, "p_domain": p_domain, "p_datetime": p_datetime,
+    "p_types": p_types, "p_schema": p_schema, "p_null": p_null, "p_numeric": p_numeric, "p_domain": p_domain, "p_datetime": p_datetime,
     "p_duration": p_duration, "p_reference": p_reference, "p_unmatched": p_unmatched,
     "p_duplicates": p_duplicates, "p_key": p_key, "p_lookup": p_lookup, "p_service": p_service,
     "p_compare": p_compare,
@@ -252,7 +274,36 @@ FILES_CTE = f"""WITH trips AS (SELECT *,
   FROM ({LINES_SQL}) AS l)"""
 FILE_LABEL = "CAST(source_file_id AS VARCHAR)"
 SAME_MONTH = "year(pickup_datetime) * 100 + month(pickup_datetime) = source_file_id"
+TYPE_CELLS = {
+    "o_orderkey": "CAST(o_orderkey AS VARCHAR)", "o_totalprice": "CAST(o_totalprice AS VARCHAR)",
+    "o_orderstatus": "o_orderstatus",
+    "o_clerk_number": "CASE WHEN year(o_orderdate) > 1996 THEN CAST(o_custkey AS VARCHAR) END",
+    "o_late": "CAST(year(o_orderdate) > 1996 AS VARCHAR)",
+    "o_rare": "CASE WHEN year(o_orderdate) > 1996 THEN 'False' END", "o_nothing": "CAST(NULL AS VARCHAR)",
+    "o_mixed": "CASE WHEN year(o_orderdate) > 1996 THEN '7' ELSE '7.5' END",
+}
+TYPES_SQL = "WITH cells AS (" + " UNION ALL ".join(
+    f"""SELECT o_orderstatus AS source, '{c}' AS "column", {e} AS v FROM orders""" for c, e in TYPE_CELLS.items()
+) + """), kinds AS (SELECT source, "column", count(*) > count(v) AS nulls, CASE WHEN count(v) = 0 THEN 'null'
+  WHEN bool_and(lower(v) IN ('true', 'false')) THEN 'boolean'
+  WHEN bool_and(regexp_full_match(v, '[+-]?[0-9]+') AND try_cast(v AS BIGINT) IS NOT NULL) FILTER (v IS NOT NULL) THEN 'int'
+  WHEN bool_and(try_cast(v AS DOUBLE) IS NOT NULL) FILTER (v IS NOT NULL) THEN 'double' ELSE 'text' END AS inferred_type
+  FROM cells GROUP BY 1, 2)
+SELECT source, "column", inferred_type, CASE WHEN inferred_type = 'null' THEN 'double'
+  WHEN inferred_type = 'int' AND nulls THEN 'double' WHEN inferred_type = 'boolean' AND nulls THEN 'text'
+  ELSE inferred_type END AS read_type FROM kinds"""
+SCHEMA_SQL = f"""WITH {FIELDS_CTE}
+SELECT table_name AS source, 'schema' AS section, name AS "column", m.metric,
+  CASE m.metric WHEN 'ordinal_position' THEN CAST(ordinal_position AS DOUBLE) END AS number,
+  CASE m.metric WHEN 'arrow_type' THEN arrow_type WHEN 'nullable' THEN CAST(nullable AS VARCHAR) END AS "text"
+FROM fields CROSS JOIN (VALUES ('ordinal_position'), ('arrow_type'), ('nullable')) AS m(metric)
+UNION ALL
+SELECT t.table_name, 'schema', d.name, 'documented_present', CAST(NULL AS DOUBLE),
+  CAST(EXISTS (SELECT 1 FROM fields f WHERE f.table_name = t.table_name AND f.name = d.name) AS VARCHAR)
+FROM (SELECT DISTINCT table_name FROM fields) AS t CROSS JOIN (VALUES ('doc_id'), ('text'), ('label')) AS d(name)"""
 ORACLE = {
+    "p_types": TYPES_SQL,
+    "p_schema": SCHEMA_SQL,
     "p_null": f"WITH {TRIPS_CTE} {_each(NULLABLE, NULLS)}",
     "p_numeric": f"WITH {TRIPS_CTE} {_each(NUMERICS, _numeric('service_type', 'trips'))}",
     "p_domain": f"WITH {TRIPS_CTE} {_each(DOMAINS, DOMAIN)}",

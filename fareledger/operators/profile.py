@@ -204,6 +204,58 @@ def key_profile(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+# Readings of a text column, narrowest first, with what a cell must look like.
+READINGS = {
+    "boolean": lambda v: F.lower(v).isin("true", "false"),
+    "int": lambda v: v.rlike(r"^[+-]?[0-9]+$") & v.try_cast("bigint").isNotNull(),
+    "double": lambda v: v.try_cast("double").isNotNull(),
+}
+
+
+def inferred_types(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The narrowest reading that holds for every non-null cell of each column.
+
+    Readings form a lattice null < boolean, int < double < text: one flag each, which partial
+    aggregates merge by "and", so all columns cost one scan and a row a task. ``read_type`` is the
+    type of a column that can hold its nulls too: whole numbers beside nulls are read as double,
+    booleans as text, and a column of nulls only as double. Blanks around a cell count as text.
+    """
+    cells = {c: F.col(c).cast("string") for c in columns}
+    v = F.col("_v")
+    flags = melt(df, [SOURCE], cells, "column", "_v", keep_nulls=True).groupBy(SOURCE, "column").agg(
+        F.count(v).alias("_filled"), F.count_if(v.isNull()).alias("_nulls"),
+        *[F.bool_and(F.when(v.isNotNull(), (v == F.trim(v)) & holds(v))).alias(f"_{name}")
+          for name, holds in READINGS.items()],
+    )
+    narrowest = F.when(F.col("_filled") == 0, F.lit("null"))
+    for name in READINGS:
+        narrowest = narrowest.when(F.col(f"_{name}"), F.lit(name))
+    widened = {"null": "double", "int": "double", "boolean": "text"}
+    kind, nulls = F.col("inferred_type"), F.col("_nulls") > 0
+    read = F.when(kind == "null", F.lit(widened["null"]))
+    for name in ("int", "boolean"):
+        read = read.when((kind == name) & nulls, F.lit(widened[name]))
+    return flags.withColumn("inferred_type", narrowest.otherwise("text")).select(
+        SOURCE, "column", "inferred_type", read.otherwise(kind).alias("read_type"))
+
+
+def schema_profile(fields: DataFrame, documented: Sequence[str] = ()) -> DataFrame:
+    """Section ``schema`` of files: place, type and nullability of each column, documented names.
+
+    ``fields`` is (source, ordinal_position, name, arrow_type, nullable), one row a file and column.
+    """
+    columns = long_format(fields.select(
+        SOURCE, F.col("name").alias("column"), "ordinal_position", "arrow_type",
+        F.col("nullable").cast("string").alias("nullable")), "schema")
+    if not documented:
+        return columns
+    names = fields.groupBy(SOURCE).agg(F.collect_set("name").alias("_names"))
+    present = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("column"), F.array_contains("_names", n).cast("string").alias("documented_present"))
+        for n in documented]))
+    return columns.unionByName(long_format(names.select(SOURCE, present.alias("_d")).select(SOURCE, "_d.*"), "schema"))
+
+
 def lookup_profile(
     zones: DataFrame, key: str = "LocationID", domains: Sequence[str] = ("Borough", "service_zone")
 ) -> dict[str, DataFrame]:
@@ -215,6 +267,7 @@ def lookup_profile(
     )
     return {
         "columns": null_summary(read, columns),
+        "types": inferred_types(read, columns),
         "key": key_profile(read, key),
         "domains": domain_profile(read, [c for c in domains if c in columns]),
         "duplicates": duplicate_profile(read, columns),
@@ -279,9 +332,12 @@ def long_counts(df: DataFrame, section: str) -> DataFrame:
 def profile_service(
     df: DataFrame, spec: ProfileSpec, zones: DataFrame, zone_key: str,
     year: Column | int, month: Column | int,
+    fields: DataFrame | None = None, documented: Sequence[str] = (),
 ) -> DataFrame:
     """All profile sections of the labelled rows as one long table.
 
+    With the ``fields`` of the files' footers the schema is a section of its own.
+
     Duration joins the numeric columns, so numbers, signs and percentiles of everything
     cost two scans; nulls and datetimes, domains, references and duplicates one each.
     """
@@ -299,6 +355,8 @@ def profile_service(
         long_counts(unmatched_ids(df, spec.references, zones, zone_key), "unmatched"),
         long_format(duplicate_profile(df, columns), "duplicates", whole),
     ]
+    if fields is not None:
+        parts.append(schema_profile(fields, documented))
     return reduce(DataFrame.unionByName, parts)
 
 

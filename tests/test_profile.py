@@ -115,3 +115,29 @@ def test_service_profile_compare_and_report(spark, tmp_path):
         return [line for p in sorted((tmp_path / name).glob("part-*")) for line in p.open()]
 
     assert text("a") == text("b") and json.loads(text("a")[0])["source"] == "feb"
+
+
+def test_inferred_types(spark):
+    listed = [("a", "1", "1", "true", "1.5", None, "x", " 1", "9223372036854775808", ""),
+              ("a", "-2", None, "FALSE", "1e3", None, "1", "2", "1", "1"),
+              ("b", "+3", "x", None, "7", None, None, None, None, None)]
+    names = ["whole", "gaps", "flag", "real", "none", "text", "blank", "huge", "empty"]
+    df = literal_table(spark, listed, ", ".join(f"{n} string" for n in ["source", *names]))
+    got = {(r["source"], r["column"]): (r["inferred_type"], r["read_type"])
+           for r in rows(profile.inferred_types(df, names))}
+    assert [got["a", n] for n in names] == [
+        ("int", "int"), ("int", "double"), ("boolean", "boolean"), ("double", "double"), ("null", "double"),
+        ("text", "text"), ("text", "text"), ("double", "double"), ("text", "text")]
+    assert got["b", "gaps"] == ("text", "text") and got["b", "flag"] == ("null", "double")
+    assert rows(profile.inferred_types(df.limit(0), names)) == []
+
+
+def test_schema_section(spark):
+    fields = literal_table(spark, [("jan", 0, "a", "int64", True), ("feb", 0, "a", "int32", False), ("feb", 1, "b", "string", True)],
+                           "source string, ordinal_position int, name string, arrow_type string, nullable boolean")
+    got = {(r["source"], r["column"], r["metric"]): r["text"] or r["number"]
+           for r in rows(profile.schema_profile(fields, ["b"]))}
+    assert got["jan", "a", "arrow_type"] == "int64" and got["feb", "b", "ordinal_position"] == 1.0
+    assert (got["jan", "b", "documented_present"], got["feb", "b", "documented_present"]) == ("false", "true")
+    delta = rows(profile.profile_compare(profile.schema_profile(fields), "jan", "feb"))
+    assert {r["left_text"] for r in delta if r["metric"] == "arrow_type" and r["column"] == "a"} == {"int64"}
