@@ -52,15 +52,17 @@ def fact_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts of the first ship year, then of everything else, then nothing new."""
+    """Facts of the first ship year, then of all other files of both services, then nothing new."""
     build = fact_builder(*source.dimensions(spark, sf_dir))
-    trips = star.enrich(source.line_trips(spark, sf_dir))
     warehouse = Warehouse(spark, f"{shared_dir(spark)}/incremental-{uuid.uuid4().hex}")
-    first_year = trips.where(F.col("source_file_id") <= 199512)
-    star.incremental_fact(first_year, warehouse, build, rebalance=True)
-    star.incremental_fact(trips, warehouse, build, rebalance=True)
-    facts = star.incremental_fact(trips, warehouse, build, rebalance=True)
-    return facts.drop("source_row_number")
+    raw, registry = source.raw_trips(spark, sf_dir, warehouse)
+    first_year = registry.where(F.col("source_file_id") <= 199512)
+    for known in (first_year, registry, registry):
+        trips = star.arriving(raw, known, warehouse)
+        if trips is not None:
+            star.incremental_fact(star.enrich(trips), warehouse, build, only_new=True)
+    return warehouse.read(star.FACT_TABLE).withColumn(
+        "source_file_id", F.col("source_file_id").cast("bigint")).drop("source_row_number")
 
 
 def loaded_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +305,7 @@ ORACLE = {
     "dim_zone": f"WITH {source.ZONE_DIM_CTE} SELECT * FROM dim_zone",
     "dim_vendor": f"WITH {source.VENDOR_DIM_CTE} SELECT * FROM dim_vendor",
     "fact_star": f"{STAR_SQL} SELECT * FROM facts",
-    "fact_incremental": f"{STAR_SQL} SELECT * FROM facts WHERE service_type = 'line'",
+    "fact_incremental": f"{STAR_SQL} SELECT * FROM facts",
     "loaded_only": """SELECT l.* FROM lineitem l
       WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
     "summary": f"{STAR_SQL} SELECT {MEASURES_SQL} {FACTS}",

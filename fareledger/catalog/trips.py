@@ -11,7 +11,7 @@ from fareledger.session import materialize, shared_dir, spread
 from fareledger.sources.readers import align_columns
 from fareledger.sources.schemas import CANONICAL
 from fareledger.sources.seeds import SEEDS
-from fareledger.sources.tables import Warehouse
+from fareledger.sources.tables import Warehouse, write_partitions
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -27,6 +27,13 @@ def year_month(column: str) -> F.Column:
     return (F.year(column) * 100 + F.month(column)).cast("bigint")
 
 
+def raw_trips(spark: SparkSession, sf_dir: str, warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Trips of both services stored by file, as raw tables are, and their registry."""
+    rows = trips(spark, sf_dir).hint("rebalance", F.col("source_file_id"))
+    write_partitions(rows, warehouse.path("raw/trips"), "source_file_id")
+    return warehouse.read("raw/trips", rows.schema), star.stored_files(warehouse, "raw/trips")
+
+
 def location(nation: str, balance: str) -> F.Column:
     """The nation's zone, or a code that no zone has where the account is overdrawn."""
     return F.when(F.col(balance) < 0, F.col(nation) + 901).otherwise(F.col(nation) + 1)

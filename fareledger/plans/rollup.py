@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareledger.plans.analytics import named_zones, trip_filter
-from fareledger.plans.star import FACT_TABLE, stored_files
+from fareledger.plans.star import FACT_TABLE, pending, stored_files
 from fareledger.sources.tables import Warehouse, write_partitions
 
 ROLLUP_TABLE = "marts/trip_rollup"
@@ -51,8 +51,8 @@ def refresh(warehouse: Warehouse, full_refresh: bool = False, facts: str = FACT_
     rows = warehouse.read(facts)
     whole = full_refresh or not warehouse.exists(rollup)
     if not whole:
-        missing = stored_files(warehouse, facts).join(
-            stored_files(warehouse, rollup), "source_file_id", "left_anti")
+        missing = pending(stored_files(warehouse, facts).join(
+            stored_files(warehouse, rollup), "source_file_id", "left_anti"))
         if missing.isEmpty():
             if not warehouse.exists(ranges):
                 warehouse.write_table(file_ranges(warehouse.read(rollup)), ranges)

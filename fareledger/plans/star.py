@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareledger.functions.columns import date_key, melt, seconds_between
+from fareledger.session import materialize
 from fareledger.sources.manifest import list_files
 from fareledger.sources.readers import align_columns
 from fareledger.sources.schemas import CANONICAL, LOADED, ZONE_PARTITION
@@ -227,13 +228,39 @@ def stored_files(warehouse: Warehouse, table: str = FACT_TABLE) -> DataFrame:
     ).distinct()
 
 
+def pending(files: DataFrame) -> DataFrame:
+    """File ids as a small stored table behind a filter.
+
+    The optimizer prunes partitions by a join only where the other side is filtered.
+    """
+    marked = materialize(files.select("source_file_id", F.lit(1).alias("pending")).distinct())
+    return marked.where("pending = 1").select("source_file_id")
+
+
+def arriving(
+    raw: DataFrame, registry: DataFrame, warehouse: Warehouse, table: str = FACT_TABLE
+) -> DataFrame | None:
+    """Rows of the registered files that the fact table lacks, or None where it lacks none.
+
+    What is missing is told from the registry and the table's partition folders; ``raw`` is
+    partitioned by file, so the semi join opens the missing files' partitions only.
+    """
+    if warehouse.exists(table):
+        registry = new_sources(registry, stored_files(warehouse, table))
+    fresh = pending(registry)
+    if fresh.isEmpty():
+        return None
+    return raw.join(fresh, "source_file_id", "left_semi")
+
+
 def incremental_fact(
     trips: DataFrame, warehouse: Warehouse, build, full_refresh: bool = False,
     table: str = FACT_TABLE, rebalance: bool = False, only_new: bool = False,
 ) -> DataFrame:
     """Add the facts of new files, or rebuild all of them.
 
-    ``only_new`` says that ``trips`` are staged from ``new_sources`` already.
+    ``only_new`` says that ``trips`` are those of new files already: ``arriving``, or staged from
+    ``new_sources``. Without it known files are anti-joined away, which reads all of ``trips``.
 
     ``build`` turns enriched trips into facts. The table is partitioned by file, so known
     ids are a partition listing and writing touches only new partitions. Rows are sorted

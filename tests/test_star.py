@@ -95,3 +95,25 @@ def test_analyze_registers_statistics(spark, warehouse, landing):
     finally:
         spark.sql("DROP TABLE fct_check")
     assert models.facts.count() == 5
+
+
+def test_arriving_opens_new_files_only(spark, warehouse):
+    from fareledger.plans.build import fact_builder
+    from fareledger.sources.tables import write_partitions
+    listed = [(f, n, at(f"2025-01-0{f} 08:00"), at("2025-01-09 09:00"), 1, 1) for f in (1, 2, 3) for n in (1, 2)]
+    rows_in = trips(spark, listed).select(*CANONICAL.names)
+    write_partitions(rows_in, warehouse.path("raw/trips"), "source_file_id")
+    raw = warehouse.read("raw/trips", rows_in.schema)
+    registry = star.stored_files(warehouse, "raw/trips")
+    whole = star.enrich(raw)
+    build = fact_builder(star.dim_date(whole), star.dim_zone(literal_table(
+        spark, [(1, "B", "Z", "S")], "location_id int, borough string, zone_name string, service_zone string")),
+        star.dim_vendor(read_seed(spark, "vendors")))
+    star.incremental_fact(star.enrich(star.arriving(raw, registry.where("source_file_id < 3"), warehouse)),
+                          warehouse, build, only_new=True)
+    rest = star.arriving(raw, registry, warehouse)
+    assert "dynamicpruning" in rest._jdf.queryExecution().executedPlan().toString()
+    assert {r["source_file_id"] for r in rows(rest)} == {3}
+    star.incremental_fact(star.enrich(rest), warehouse, build, only_new=True)
+    assert star.arriving(raw, registry, warehouse) is None
+    assert warehouse.read(star.FACT_TABLE).count() == 6
