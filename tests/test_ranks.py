@@ -12,6 +12,14 @@ from tests.conftest import rows
 PERCENTS = {"p0": 0.0, "p01": .01, "p50": .5, "p95": .95, "p99": .99, "p1": 1.0}
 
 
+@pytest.fixture(autouse=True)
+def generated_code(spark):
+    """The session of the tests interprets plans; ranks are tested as they run elsewhere."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 def group(spark, values):
     return literal_table(spark, [(v,) for v in values], "v double")
 
