@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ from fareledger.llm.toxicity import held_out
 from fareledger.session import shared_dir
 
 ORDER = 3
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 700_000
 SHARD_GRAMS = 2_000_000
 LANE = 256  # tokens of a text that one lane walks
 _END = np.uint64(0x5EED5EED5EED5EED)
@@ -138,25 +139,37 @@ class Chunk:
         cut = int.from_bytes(row["vocab"][-16:-8], "little")
         self.vocab = unsqueeze_sorted(row["vocab"][:cut], n)
         self.rank = unsqueeze(row["vocab"][cut:-16], n).astype(np.int64)
-        self.tokens = unsqueeze(row["codes"], int(self.lengths.sum())).astype(np.int64)
+        self.tokens = unsqueeze(row["codes"], int(self.lengths.sum())).astype(np.int32)
         self.first = np.cumsum(self.lengths) - self.lengths
         self.trained = np.repeat(~self.held, self.lengths)
-        self.within = np.arange(len(self.tokens)) - np.repeat(self.first, self.lengths)
+        self.within = (np.arange(len(self.tokens)) - np.repeat(self.first, self.lengths)).astype(np.int32)
 
     def grams(self, n: int) -> Grams:
-        by_code = np.empty(len(self.vocab), np.uint64)
-        by_code[self.rank] = self.vocab
-        at = np.flatnonzero(self.within >= n - 1)
-        value = np.zeros(len(at), np.uint64)
-        for k in range(n - 1, -1, -1):
-            value *= np.uint64(0x9E3779B97F4A7C15)
-            value += by_code[self.tokens[at - k]]
-            value = W.mix(value) if n > 1 else value
-        prints, place, gram = np.unique(value, return_index=True, return_inverse=True)
-        counts = np.bincount(gram[self.trained[at]], minlength=len(prints))
-        ends = np.full(len(self.tokens), -1, np.int32)
-        ends[at] = gram
-        return Grams(prints, counts, at[place], ends)
+        size = len(self.tokens)
+        if n == 1:
+            of_code = np.empty(len(self.vocab), np.int32)
+            of_code[self.rank] = np.arange(len(self.vocab), dtype=np.int32)
+            prints, ends = self.vocab, of_code[self.tokens]
+            place = np.empty(len(prints), np.int32)
+            place[ends] = np.arange(size, dtype=np.int32)
+        else:
+            by_code = np.empty(len(self.vocab), np.uint64)
+            by_code[self.rank] = self.vocab
+            at = np.flatnonzero(self.within >= n - 1).astype(np.int32)
+            value = np.zeros(len(at), np.uint64)
+            for k in range(n - 1, -1, -1):
+                value *= np.uint64(0x9E3779B97F4A7C15)
+                value += by_code[self.tokens[at - k]]
+                value = W.mix(value)
+            order = np.argsort(value)
+            value = value[order]
+            new = np.append(True, value[1:] != value[:-1])[:len(value)]
+            prints, at = value[new], at[order]
+            place = at[new]
+            ends = np.full(size, -1, np.int32)
+            ends[at] = (np.cumsum(new) - 1).astype(np.int32)
+        counts = np.bincount(ends[self.trained & (ends >= 0)], minlength=len(prints))
+        return Grams(prints, counts, place, ends)
 
 
 @dataclass
@@ -220,7 +233,7 @@ def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums over all chunks, in the order in which each chunk has asked."""
     rows = sorted((row for batch in batches for row in batch.to_pylist()), key=lambda row: row["chunk"])
     asked = np.concatenate([unsqueeze_sorted(row["prints"], row["n"]) for row in rows])
-    order = np.argsort(asked, kind="stable")
+    order = np.argsort(asked)
     ranked = asked[order]
     new = np.append(True, ranked[1:] != ranked[:-1])
     of = np.empty(len(asked), np.int64)
@@ -230,7 +243,7 @@ def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                      for name in ("counts", "types"))
     first = np.flatnonzero(new)
     totals, kinds = (np.add.reduceat(x[order], first) for x in (counts, types))
-    trained = order[counts[order] > 0]  # by n-gram, then by chunk: the first of each owns it
+    trained = order[counts[order] > 0]  # by n-gram: the first asker of each owns it
     owner = np.zeros(len(of), bool)
     owner[trained[np.append(True, of[trained[1:]] != of[trained[:-1]])[:len(trained)]]] = True
     sums = [int(x) for x in (totals.sum(), (totals > 0).sum(), (totals == 1).sum(), (totals == 2).sum())]
@@ -273,8 +286,8 @@ class Automaton:
                 own, past = prefix[seen], suffix[seen]
                 prob = np.zeros(len(counts))
                 prob[seen] = (counts[seen] - discounts[n]) / below[own] + back[own] * prob_below[past]
-                keys.append((base[n - 1] + own) * self.words + chunk.tokens[last[seen]])
-                targets.append(base[n] + seen if n < order else base[n - 1] + past)
+                keys.append(W.mix((base[n - 1] + own) * self.words + chunk.tokens[last[seen]]))
+                targets.append((base[n] + seen if n < order else base[n - 1] + past).astype(np.int32))
                 weights.append(np.log10(prob[seen]))
             if n < order:
                 back = discounts[n + 1] * types / np.maximum(counts, 1)
@@ -282,18 +295,16 @@ class Automaton:
                 self.fail_to[base[n] + on] = base[n - 1] + suffix[on] if n > 1 else 0
                 self.fail_weight[base[n] + on] = np.log10(back[on])
             shorter, below, prob_below = grams, counts, prob
-        self._index(*(np.concatenate(x) if x else np.zeros(0, kind) for x, kind in
-                      ((keys, np.int64), (targets, np.int64), (weights, float))))
-
-    def _index(self, keys: np.ndarray, targets: np.ndarray, weights: np.ndarray) -> None:
-        """Arcs by the scrambled key, with the first arc of each range of keys: one or two looks find one."""
-        mixed = W.mix(keys)
-        order = np.argsort(mixed)
-        self.keys, self.to, self.weight = mixed[order], targets[order], weights[order]
-        bits = max(1, int(len(keys)).bit_length())
+        # Arcs by the scrambled key, with the first arc of each range of keys: one or two looks find one.
+        mixed = np.concatenate(keys or [np.zeros(0, np.uint64)])
+        by_key = np.argsort(mixed)
+        self.keys = mixed[by_key]
+        self.to = np.concatenate(targets or [np.zeros(0, np.int32)])[by_key]
+        self.weight = np.concatenate(weights or [np.zeros(0)])[by_key]
+        bits = max(1, len(mixed).bit_length())
         self.shift = np.uint64(64 - bits)
         sizes = np.bincount((self.keys >> self.shift).astype(np.int64), minlength=1 << bits)
-        self.begin = np.concatenate([[0], np.cumsum(sizes)])
+        self.begin = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
 
     def arcs(self, state: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The arc of each state that reads the word, or -1."""
@@ -351,13 +362,14 @@ class Automaton:
 def walker(order: int, tokens: int, distinct: int, discounts: list[float]):
     def walk(chunks: pa.Table, answers: pa.Table) -> pa.Table:
         chunk = Chunk(chunks.to_pylist()[0])
-        replies = sorted(answers.to_pylist(), key=lambda r: (r["level"], r["shard"]))
         levels = []
         for n in range(1, order + 1):
-            counts, types = (np.concatenate([unsqueeze(r[name], r["n"]) for r in replies if r["level"] == n]
-                                            or [[]]).astype(np.int64) for name in ("counts", "types"))
-            levels.append((chunk.grams(n), counts, types))
-        del replies
+            replies = sorted(answers.filter(pc.equal(answers.column("level"), n)).to_pylist(), key=lambda r: r["shard"])
+            counts, types = (np.concatenate([unsqueeze(r[name], r["n"]) for r in replies] or [[]]).astype(np.int64)
+                             for name in ("counts", "types"))
+            grams = chunk.grams(n)
+            grams.prints = grams.prints[:0]  # not needed any more
+            levels.append((grams, counts, types))
         words, counts, _ = levels[0]
         seen = counts[words.ends]
         gains = Automaton(chunk, levels, tokens, distinct, discounts).walk(chunk, order - 1)
