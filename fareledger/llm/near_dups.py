@@ -1,9 +1,15 @@
-"""N-gram Jaccard join: MinHash banding, then exact verification.
-
-Texts become sets of runs of five words. Equal sets are one node. Each of ``trees`` labels of a
-node is a string of MinHash values, and nodes that share one label meet: banding. The length of the
-labels follows from the threshold and the target recall by a formula (5 of at most 8 values); no
-labels are sorted and none is shortened for the texts at hand. Nodes that meet anywhere are gathered in groups, and every
+"""N-gram Jaccard join: a MinHash LSH forest, then exact verification.
+
+Texts become sets of runs of five words. Equal sets are one node. A node has one label in each of
+``trees`` prefix trees, a string of ``DEPTH`` MinHash values, and the labels of all nodes lie sorted
+by tree and label, so that a prefix is a range of neighbours. Each node starts with whole labels and
+shortens its prefixes level by level until the estimated recall reaches the target: the chance that
+the least similar partner which a set of its size can have shares the prefix in some tree. Sets of
+up to three runs have no partner at 0.8 but their equals and take no part; small sets stop at long
+prefixes; large ones at the 5 values that 0.8 itself asks for. Two nodes meet where their common
+prefix is as long as the longer of their two, which is enough for either. A range that two partitions
+share is tied by a point named after its prefix, so a hot prefix may be split anywhere.
+Nodes that meet anywhere are gathered in groups, and every
 pair in a group is verified exactly: shared runs are counted by blocks of a sparse product, so
 links are counted and classes are joined without a row for each pair. A group of more than
 ``block`` nodes is dealt to one task for each pair of its blocks.
@@ -16,10 +22,13 @@ empty table gives an empty result; other columns pass through the filter untouch
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,49 +51,112 @@ def recall_at(depth: int, trees: int, threshold: float) -> float:
     return 1 - (1 - threshold**depth) ** trees
 
 
-def prefix_depth(threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES, depth: int = DEPTH) -> int:
-    """Longest prefix that still reaches the target recall."""
-    while depth > 1 and recall_at(depth, trees, threshold) < recall:
+def least_similarity(size: int, threshold: float = THRESHOLD) -> float | None:
+    """Least similarity at or over the threshold that a different set can have with one of ``size``."""
+    if size * (1 - threshold) > 40:
+        return threshold  # so many are possible that the least is next to it
+    least = None
+    for other in range(1, int(size / threshold + 1e-9) + 1):
+        both = math.ceil(threshold * (size + other) / (1 + threshold) - 1e-9)
+        if both <= min(size, other) and both < max(size, other):
+            least = min(least or 1, both / (size + other - both))
+    return least
+
+
+@lru_cache(100_000)
+def prefix_depth(size: int, threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES,
+                 depth: int = DEPTH) -> int | None:
+    """Where a set of ``size`` runs stops shortening its prefixes; None without possible partners."""
+    similarity = least_similarity(size, threshold)
+    if similarity is None:
+        return None
+    while depth > 1 and recall_at(depth, trees, similarity) < recall:
         depth -= 1
     return depth
 
 
-def prefix_keys(runs: np.ndarray, first: np.ndarray, depth: int) -> np.ndarray:
-    """Key of each tree's prefix of each text; every text must have a run."""
-    keys = np.zeros((len(first), TREES), np.uint64)
-    for tree in range(TREES):
-        key = np.full(len(first), tree, np.uint64)
-        for level in range(depth):
-            k = tree * DEPTH + level
-            least = np.minimum.reduceat(W.mix_fast(runs * _SCALE[k] + _SHIFT[k]), first)
-            key = W.mix(key * np.uint64(31) + least)
-        keys[:, tree] = key
-    return keys
+def labels_of(runs: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Labels of each text, tree by tree, two bytes a value; every text must have a run."""
+    labels = np.zeros((len(first), TREES * DEPTH), ">u2")
+    for k in range(TREES * DEPTH):
+        least = np.minimum.reduceat(W.mix_fast(runs * _SCALE[k] + _SHIFT[k]), first)
+        labels[:, k] = W.mix(least) >> np.uint64(48)
+    return labels
 
 
-SKETCH = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("node", pa.int64()),
-                    ("keys", pa.list_(pa.int64()))])
+SKETCH = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("node", pa.int64()), ("depth", pa.int32()),
+                    ("labels", pa.binary())])
 
 
-def sketcher(depth: int):
+def sketcher(threshold: float, recall: float):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 runs, first = W.grams(W.split(part.column("text")), WORDS)
                 some = np.flatnonzero(np.diff(first))
-                node, keys = np.zeros(len(part), np.int64), [None] * len(part)
+                node = np.zeros(len(part), np.int64)
+                depth, labels = [None] * len(part), [None] * len(part)
                 if len(some):
-                    for i, key in zip(some, prefix_keys(runs, first[some], depth).view(np.int64)):
+                    for i, label in zip(some, labels_of(runs, first[some])):
                         own = np.unique(runs[first[i]:first[i + 1]])
                         node[i] = W.mix(np.array([W.mix(own).sum() + np.uint64(len(own))])).view(np.int64)[0]
-                        keys[i] = key
+                        depth[i] = prefix_depth(len(own), threshold, recall)
+                        labels[i] = None if depth[i] is None else label.tobytes()
                 empty = np.ones(len(part), bool)
                 empty[some] = False
                 yield record(SKETCH, row=part.column("row"), doc_id=part.column("doc_id"),
-                             node=pa.array(node, mask=empty), keys=keys)
+                             node=pa.array(node, mask=empty), depth=depth, labels=labels)
     return sketch
 
 
+MEETS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+class Level:
+    """Ranges of one prefix length, met in sorted order: each node meets the first of its range."""
+
+    def __init__(self, length: int) -> None:
+        self.length, self.prefix, self.hub, self.hub_depth = length, None, 0, 0
+
+    def point(self, prefix: np.ndarray) -> int:
+        """The name of a range, for its parts in other partitions."""
+        name = xxhash.xxh64_intdigest(bytes([self.length]) + prefix.tobytes())
+        return int(np.uint64(name).astype(np.int64))
+
+    def meet(self, keys: np.ndarray, node: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(depth <= self.length)
+        if not len(at):
+            return node[:0], node[:0]
+        keys, node, depth = keys[at, :1 + 2 * self.length], node[at], depth[at]
+        begins = self.prefix is None
+        new = np.append(begins or (keys[0] != self.prefix).any(), (keys[1:] != keys[:-1]).any(axis=1))
+        start = np.maximum.accumulate(np.where(new, np.arange(len(at)), -1))
+        hub = np.where(start < 0, self.hub, node[start])
+        hub_depth = np.where(start < 0, self.hub_depth, depth[start])
+        # Nodes that stop further up have met at their own level.
+        keep = ~new & ((depth == self.length) | (hub_depth == self.length)) & (hub != node)
+        self.prefix, self.hub, self.hub_depth = keys[-1], hub[-1], hub_depth[-1]
+        a, b = node[keep], hub[keep]
+        return (np.append(a, node[0]), np.append(b, self.point(keys[0]))) if begins else (a, b)
+
+
+def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Who meets in a sorted stretch of the trees; the ranges at its two ends are tied to their points."""
+    levels = [Level(length) for length in range(1, DEPTH + 1)]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        node, depth, tree = (batch.column(n).to_numpy() for n in ("node", "depth", "tree"))
+        label = np.frombuffer(b"".join(batch.column("label").to_pylist()), np.uint8).reshape(-1, 2 * DEPTH)
+        keys = np.column_stack([tree.astype(np.uint8), label])
+        for level in levels:
+            a, b = level.meet(keys, node, depth)
+            if len(a):
+                yield record(MEETS, a=a, b=b)
+    ends = [level for level in levels if level.prefix is not None]
+    yield record(MEETS, a=[int(x.hub) for x in ends], b=[x.point(x.prefix) for x in ends])
+
+
 SETS = pa.schema([("task", pa.int64()), ("unit", pa.int64()), ("side", pa.int32()), ("node", pa.int64()),
                   ("copies", pa.int64()), ("runs", pa.binary())])
 
@@ -172,20 +244,24 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     ``n_links`` counts the other documents whose sets reach the threshold, copies included.
     ``class_row`` is the key of the document that the class is named after.
     """
-    depth = prefix_depth(threshold, recall)
     rows = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    sketch = stored(rows.mapInArrow(sketcher(depth), "row long, doc_id long, node long, keys array<long>"))
+    sketch = stored(rows.mapInArrow(sketcher(threshold, recall),
+                                    "row long, doc_id long, node long, depth int, labels binary"))
     name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     nodes = stored(sketch.where("node is not null").groupBy("node").agg(
-        F.min(name).alias("name"), F.count(F.lit(1)).alias("copies"), F.any_value("keys").alias("keys")))
-
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
-    hubs = (keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n"))
-            .where("n > 1").select("key", "hub"))
-    meeting = components(keyed.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-    sizes = meeting.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    groups = stored(meeting.join(sizes, "root").join(nodes.select("node", "name", "copies"), "node").select(
+        F.min(name).alias("name"), F.count(F.lit(1)).alias("copies"), F.min("depth").alias("depth"),
+        F.min("labels").alias("labels")))
+
+    trees = nodes.where("labels is not null").select(
+        "node", "depth", "labels", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    trees = trees.select("tree", F.expr(f"substring(labels, tree * {2 * DEPTH} + 1, {2 * DEPTH})").alias("label"),
+                         "node", "depth")
+    meets = trees.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
+    meeting = components(meets.mapInArrow(forest, "a long, b long")).join(
+        nodes.select("node", "name", "copies"), "node")  # without the points
+    sizes = meeting.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    groups = stored(meeting.join(sizes, "root").select(
         F.col("name.row").alias("row"), "node", "copies", F.col("root").alias("comp"),
         F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
 

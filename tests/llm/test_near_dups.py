@@ -6,7 +6,8 @@ import pyarrow as pa
 
 from fareledger.llm.common import table
 from fareledger.llm.components import components
-from fareledger.llm.near_dups import jaccard_classes, one_of_each, prefix_depth, recall_at
+from fareledger.llm.near_dups import (
+    forest, jaccard_classes, least_similarity, one_of_each, prefix_depth, recall_at)
 from tests.llm.cases import awkward, frame
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -106,5 +107,74 @@ def test_components_of_a_chain(spark):
 
 
 def test_prefixes_are_shortened_to_the_target_recall():
-    depth = prefix_depth(0.8, 0.9999)
-    assert recall_at(depth, 24, 0.8) >= 0.9999 > recall_at(depth + 1, 24, 0.8)
+    depths = [prefix_depth(n) for n in range(1, 400)]
+    assert depths[:3] == [None] * 3 and min(depths[3:]) == depths[-1] == 5 and max(depths[3:]) > 5
+    for n, depth in enumerate(depths[3:], start=4):
+        assert recall_at(depth, 24, least_similarity(n)) >= 0.9999
+
+
+def test_least_similarity_of_small_sets():
+    for n in range(1, 30):
+        found = [k / (n + m - k) for m in range(1, 60) for k in range(1, min(n, m) + 1)
+                 if k < max(n, m) and k / (n + m - k) >= 0.8 - 1e-12]
+        assert least_similarity(n) == (min(found) if found else None)
+
+
+def plain_meets(rows):
+    """Pairs whose common prefix is as long as the longer of their two."""
+    out = set()
+    for i, (tree, label, a, da) in enumerate(rows):
+        for other, text, b, db in rows[:i]:
+            need = 2 * max(da, db)
+            if tree == other and label[:need] == text[:need] and a != b:
+                out.add(frozenset((a, b)))
+    return out
+
+
+def roots(pairs, nodes):
+    root = {x: x for pair in pairs for x in pair} | {x: x for x in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    groups = {}
+    for x in nodes:
+        groups.setdefault(find(x), set()).add(x)
+    return sorted(map(sorted, groups.values()))
+
+
+def test_the_forest_meets_whom_common_prefixes_say_however_it_is_cut():
+    rng = random.Random(5)
+    nodes = {i: rng.randrange(5, 9) for i in range(120)}
+    rows = []
+    for i, depth in nodes.items():
+        for tree in range(2):
+            label = b"".join(bytes([0, rng.randrange(2) if k < 6 else rng.randrange(3)]) for k in range(8))
+            rows.append((tree, label, i, depth))
+    rows.sort()
+    expected = roots([tuple(p) for p in plain_meets(rows)], nodes)
+    for parts, size in ((1, 500), (1, 7), (5, 4), (60, 3)):
+        cuts = sorted(rng.sample(range(1, len(rows)), parts - 1))
+        pairs = []
+        for low, high in zip([0, *cuts], [*cuts, len(rows)]):
+            table_ = pa.Table.from_pylist([dict(zip(("tree", "label", "node", "depth"), r)) for r in rows[low:high]])
+            for batch in forest(iter(table_.to_batches(max_chunksize=size))):
+                pairs += zip(*(batch.column(c).to_pylist() for c in ("a", "b")))
+        assert roots(pairs, nodes) == expected
+
+
+def test_recall_of_pairs_just_over_the_threshold(spark):
+    """Pairs between 0.8 and 0.85, all of different texts: none is lost."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(150):
+        words = [f"w{i}_{k}" for k in range(204)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:rng.randrange(165, 173)], "x"]))]
+    sets = [runs_of(text) for _, text in rows]
+    near = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert all(0.78 < x < 0.86 for x in near)
+    links = {r.doc_id: r.n_links for r in jaccard_classes(frame(spark, rows)).collect()}
+    assert [links[2 * i] for i in range(150)] == [int(x >= 0.8) for x in near]
