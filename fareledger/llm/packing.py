@@ -147,4 +147,6 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = Non
                        cluster.alias("cluster"))
     count = shards(docs, shard_rows)
     shard = F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(count))
-    return rows.withColumn("shard", shard).groupBy("shard").applyInArrow(packer(capacity), ROW)
+    # Rows are small, so adaptive execution would put many shards into one task; a stated number stays.
+    rows = rows.withColumn("shard", shard).repartition(count, "shard")
+    return rows.groupBy("shard").applyInArrow(packer(capacity), ROW)
