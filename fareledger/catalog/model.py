@@ -12,7 +12,7 @@ from fareledger.catalog import trips as source
 from fareledger.catalog.trips import STAR_SQL, TRIPS_CTE, served, table
 from fareledger.functions.ranks import median_by, nearest_rank_percentile
 from fareledger.operators import checks
-from fareledger.plans import analytics, rollup, star
+from fareledger.plans import analytics, rollup, star, statistics
 from fareledger.plans.build import fact_builder
 from fareledger.session import shared_dir
 from fareledger.sources.tables import Warehouse
@@ -94,6 +94,12 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rollup.summary(partials, dates))
 
 
+def fact_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged statistics of the stored facts; estimates are left out, as SQL has no such sketch."""
+    stored = statistics.refresh(source.served_warehouse(spark, sf_dir))
+    return statistics.merged(stored).drop("distinct_estimate")
+
+
 def summary_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, dates, _, _, partials, _ = served(spark, sf_dir)
     return rounded(rollup.summary(partials, dates, service_type="line", **BOUNDS))
@@ -256,7 +262,8 @@ QUERIES = {
     "summary": summary, "summary_filtered": summary_filtered, "monthly": monthly,
     "monthly_filtered": monthly_filtered, "top_zones": top_zones,
     "top_zones_filtered": top_zones_filtered, "summary_facts": summary_facts,
-    "rollup_partials": rollup_partials, "file_ranges": file_ranges, "monthly_pivot": monthly_pivot,
+    "rollup_partials": rollup_partials, "file_ranges": file_ranges, "fact_statistics": fact_statistics,
+    "monthly_pivot": monthly_pivot,
     "monthly_pivot_mean": monthly_pivot_mean, "service_share": service_share,
     "zone_labels": zone_labels, "lineage_counts": lineage_counts, "nearest_rank": nearest_rank,
     "median_by": median, "t_not_null": t_not_null,
@@ -328,6 +335,14 @@ ORACLE = {
     "service_share": f"""SELECT service_type, CAST(sum(trip_count) AS BIGINT) AS trip_count,
       round(sum(trip_count) / sum(sum(trip_count)) OVER (), 7) AS "share"
       FROM ({_monthly_sql()}) AS m GROUP BY 1""",
+    "fact_statistics": STAR_SQL + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+        CAST({f"min({c})" if c in statistics.KEYS else "NULL"} AS BIGINT) AS min_key,
+        CAST({f"max({c})" if c in statistics.KEYS else "NULL"} AS BIGINT) AS max_key,
+        CAST({f"min({c})" if c in statistics.TEXTS else "NULL"} AS VARCHAR) AS min_text,
+        CAST({f"max({c})" if c in statistics.TEXTS else "NULL"} AS VARCHAR) AS max_text FROM facts"""
+        for c in statistics.KEYS + statistics.TEXTS
+    ),
     "zone_labels": f"SELECT borough || ' · ' || zone_name AS label, trip_count FROM ({_zones_sql()}) AS z",
     "lineage_counts": "SELECT count(*) AS row_count, count(*) AS lineage_count FROM lineitem",
     "nearest_rank": """SELECT o_orderpriority,

@@ -135,6 +135,7 @@ def dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 
 
 _STORED: dict[tuple, tuple] = {}
+_WAREHOUSES: dict[tuple, Warehouse] = {}
 INPUTS = ("nation", "region", "customer", "supplier", "orders", "lineitem")
 
 
@@ -163,10 +164,17 @@ def served(spark: SparkSession, sf_dir: str) -> tuple:
             star.enrich(trips(spark, sf_dir)), warehouse,
             fact_builder(dates, zone_dim, vendor_dim), full_refresh=True, rebalance=True,
         )
+        _WAREHOUSES[key] = warehouse
         _STORED[key] = (facts, dates, zone_dim, vendor_dim, *rollup.refresh(warehouse, True))
     return _STORED[key]
 
 
+def served_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse that holds the stored star."""
+    served(spark, sf_dir)
+    return _WAREHOUSES[spark.sparkContext.applicationId, identity(spark, sf_dir)]
+
+
 def stored_star(spark: SparkSession, sf_dir: str) -> tuple:
     """Facts, dates, zones and vendors as stored tables."""
     return served(spark, sf_dir)[:4]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fareledger.operators import checks
 from fareledger.operators.registry import raise_if_any
-from fareledger.plans import rollup, star
+from fareledger.plans import rollup, star, statistics
 from fareledger.plans.ingest import registry_state
 from fareledger.session import materialize
 from fareledger.sources.schemas import LOADED, ZONE_PARTITION
@@ -33,6 +33,7 @@ class Models:
     facts: DataFrame
     rollup: DataFrame
     ranges: DataFrame
+    column_statistics: DataFrame
 
 
 def fact_builder(dates: DataFrame, zones: DataFrame, vendors: DataFrame):
@@ -157,7 +158,7 @@ def build_all(warehouse: Warehouse, full_refresh: bool = False) -> Models:
         if fresh.where((F.col("status") == LOADED) & F.col("service_type").isNotNull()).isEmpty():
             _require(dimension_tests(dates, dim_zone, dim_vendor))
             return Models(registry, yellow, green, zones, trips, dates, dim_zone, dim_vendor, facts,
-                          *rollup.refresh(warehouse))
+                          *rollup.refresh(warehouse), statistics.refresh(warehouse))
         arriving = star.enrich(star.normalize(
             star.stage_yellow(warehouse.raw("yellow_tripdata"), fresh),
             star.stage_green(warehouse.raw("green_tripdata"), fresh),
@@ -169,7 +170,7 @@ def build_all(warehouse: Warehouse, full_refresh: bool = False) -> Models:
         arriving, warehouse, fact_builder(dates, dim_zone, dim_vendor), full_refresh, only_new=True
     )
     return Models(registry, yellow, green, zones, trips, dates, dim_zone, dim_vendor, facts,
-                  *rollup.refresh(warehouse, rebuild))
+                  *rollup.refresh(warehouse, rebuild), statistics.refresh(warehouse, rebuild))
 
 
 def build_and_test(warehouse: Warehouse, full_refresh: bool = False) -> Models:
